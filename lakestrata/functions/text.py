@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,14 +13,32 @@ from pyspark.sql import types as T
 ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüç"
 FOLDED = "aaaaaeeeeiiiiooooouuuuc"
 
-# What is removed from an entity name.
-OUTER_WHITESPACE = r"^\s+|\s+$"
-GROUP_SUFFIX = r"(\(conglomerado\)|- prudencial).*"
+# What is removed from an entity name - ASCII whitespace around it, and
+# its group suffix to the end of the line.
+WHITESPACE = " \t\n\u000b\f\r"
+SUFFIXES = ["(conglomerado)", "- prudencial"]
+SUFFIX_PATTERN = r"(\(conglomerado\)|- prudencial).*"
+
+# Line ends that are not whitespace here, yet let the pattern `\s+$` match before them.
+_LINE_ENDS = ["\u0085", "\u2028", "\u2029"]
+
+
+def _null_only_with(source: Column, value: Column) -> Column:
+    """`value`, which is null only where `source` is, written so that Spark knows it.
+
+    Where a join on the value makes Spark infer a not-null filter, the filter then
+    becomes a test of `source` that reaches the scan; else every value would be
+    computed twice, once for the filter.
+    """
+    return F.when(source.isNotNull(), F.coalesce(value, F.lit("")))
 
 
 def fold_accents(value: Column) -> Column:
     """Lower-case, then replace the accented letters above; any other letter stays."""
-    return F.translate(F.lower(value), ACCENTED, FOLDED)
+    lowered = F.lower(value)
+    is_ascii = F.octet_length(value) == F.char_length(value)
+    folded = F.when(is_ascii, lowered).otherwise(F.translate(lowered, ACCENTED, FOLDED))
+    return _null_only_with(value, folded)
 
 
 def normalize_values(df: DataFrame) -> DataFrame:
@@ -36,10 +57,16 @@ def entity_name(value: Column) -> Column:
     """Strip a name and cut its group suffix.
 
     The suffixes are matched in lower case, so fold the value first. A suffix
-    runs to the end of its line: text after a line break is kept.
+    runs to the end of its line: text after a line break is kept. Regular
+    expressions run only on the values that need one.
     """
-    stripped = F.regexp_replace(value, OUTER_WHITESPACE, "")
-    return F.trim(F.regexp_replace(stripped, GROUP_SUFFIX, ""))
+    odd_end = reduce(or_, [value.endswith(end) for end in _LINE_ENDS])
+    has_suffix = reduce(or_, [value.contains(suffix) for suffix in SUFFIXES])
+    stripped = F.when(odd_end, F.regexp_replace(value, r"^\s+|\s+$", "")).otherwise(
+        F.btrim(value, F.lit(WHITESPACE))
+    )
+    cut = F.when(has_suffix, F.regexp_replace(stripped, SUFFIX_PATTERN, "")).otherwise(stripped)
+    return _null_only_with(value, F.trim(cut))
 
 
 def clean_entity_name(df: DataFrame, column: str) -> DataFrame:

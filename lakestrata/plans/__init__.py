@@ -13,6 +13,7 @@ from lakestrata.plans.taxi import (
     ROUTES,
     SILVER,
     SILVER_ROUTES,
+    SILVER_YEARS,
     gold,
     gold_job,
     route_job,
@@ -27,6 +28,7 @@ __all__ = [
     "ROUTES",
     "SILVER",
     "SILVER_ROUTES",
+    "SILVER_YEARS",
     "clean_source",
     "clean_source_job",
     "deliver_job",

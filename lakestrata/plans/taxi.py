@@ -116,11 +116,21 @@ def route_job(
         write_layer(read_route(spark, raw, prefix, years), f"{target.rstrip('/')}/{category}")
 
 
-def silver_job(spark: SparkSession, colour: str, source: str, target: str) -> None:
-    """Raw trips of one colour to a dataset partitioned by date."""
+def silver_job(
+    spark: SparkSession, colour: str, source: str, target: str, *, clustered: bool = False
+) -> None:
+    """Raw trips of one colour to a dataset partitioned by date.
+
+    By default rows are shuffled by date, which gives few, evenly sized files.
+    Raw files that hold few dates each may be written as they lie, without a
+    shuffle, by `clustered=True`.
+    """
     require_apart(target, source)
     write_layer(
-        silver(concat_by_name(spark, source), colour), target, partition_by="partition_date"
+        silver(concat_by_name(spark, source), colour),
+        target,
+        partition_by="partition_date",
+        clustered=clustered,
     )
 
 

@@ -1,0 +1,123 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata.functions import (
+    clean_entity_name,
+    format_measure,
+    normalize_columns,
+    normalize_name,
+    normalize_values,
+    to_double,
+)
+from lakestrata.functions.text import ACCENTED, FOLDED
+
+
+@pytest.mark.parametrize(
+    "header, name",
+    [
+        ("Instituição financeira", "instituicao_financeira"),
+        ("Quantidade total de reclamações", "quantidade_total_de_reclamacoes"),
+        ("Quantidade total de clientes \x96 CCS e SCR", "quantidade_total_de_clientes__ccs_e_scr"),
+        ("Índice (%)", "indice__"),
+        ("Código", "codigo"),
+        ("Pré-pago", "pre_pago"),
+        ("Señor", "señor"),
+    ],
+)
+def test_normalize_name(header, name):
+    assert normalize_name(header) == name
+
+
+def test_normalize_name_with_capital_o():
+    assert normalize_name("Código", legacy_upper_o=True) == "cOdigo"
+    assert normalize_name("CONTO", legacy_upper_o=True) == "conto"
+
+
+def test_clashing_headers_are_named(spark):
+    df = spark.createDataFrame([(1, 2)], "`Código` int, codigo int")
+    with pytest.raises(ValueError, match="Código"):
+        normalize_columns(df)
+
+
+def test_normalize_columns_keeps_rows(spark, rows):
+    df = spark.createDataFrame([(1, "Á")], "`A B` int, `Ç-D` string")
+    out = normalize_columns(df)
+    assert out.columns == ["a_b", "c_d"]
+    assert rows(out) == [(1, "Á")]
+
+
+NAMES = [
+    ("  ITAÚ (Conglomerado) X", "itau"),
+    ("Ótimo BANCO - PRUDENCIAL foo", "otimo banco"),
+    ("ÑANDÚ õ", "ñandu o"),
+    (None, None),
+    ("\u00a0x\u00a0", "\u00a0x\u00a0"),
+    ("a\nb (conglomerado) c\nd", "a\nb \nd"),
+    ("", ""),
+    (" \t ", ""),
+    ("- prudencial", ""),
+    ("a - prudencial (conglomerado) b", "a"),
+    ("x(conglomerado)y - prudencial z", "x"),
+]
+
+
+def test_entity_names(spark):
+    df = spark.createDataFrame([(i, raw) for i, (raw, _) in enumerate(NAMES)], "id int, name string")
+    cleaned = clean_entity_name(normalize_values(df), "name").orderBy("id").collect()
+    assert [r.name for r in cleaned] == [wanted for _, wanted in NAMES]
+    again = clean_entity_name(normalize_values(df), "name")
+    twice = clean_entity_name(normalize_values(again), "name").orderBy("id").collect()
+    assert [r.name for r in twice][:5] == [wanted for _, wanted in NAMES][:5]
+
+
+def _random_texts(pieces, n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(n)]
+
+
+def test_entity_name_equals_the_plain_patterns(spark):
+    pieces = [
+        " ", "\t", "\n", "\r", "\u000b", "\u0085", "\u2028", "\u2029", "\u00a0", "\u001c",
+        "(conglomerado)", "- prudencial", "(conglom", "prudencial", "-", "a", "é", "xyz",
+    ]
+    texts = _random_texts(pieces, 6000, 7)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, name string")
+    plain = F.regexp_replace("name", r"^\s+|\s+$", "")
+    plain = F.regexp_replace(plain, r"\(conglomerado\).*", "")
+    plain = F.trim(F.regexp_replace(plain, r"- prudencial.*", ""))
+    both = clean_entity_name(df.withColumn("plain", plain), "name")
+    assert both.where("name is distinct from plain").collect() == []
+
+
+def test_fold_equals_replacing_letter_by_letter(spark):
+    texts = _random_texts(list(ACCENTED.upper() + ACCENTED + "aZñÑ ßİ1"), 3000, 11)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, text string")
+    got = {r.id: r.text for r in normalize_values(df).collect()}
+    for i, text in enumerate(texts):
+        for letter, plain in zip(ACCENTED, FOLDED):
+            text = text.lower().replace(letter, plain)
+        assert got[i] == text
+
+
+def test_only_strings_are_folded(spark):
+    df = spark.createDataFrame([("Á", 1, None)], "a string, b int, c string")
+    out = normalize_values(df)
+    assert [f.dataType.simpleString() for f in out.schema] == ["string", "int", "string"]
+    assert tuple(out.first()) == ("a", 1, None)
+
+
+def test_to_double(spark):
+    texts = ["", " ", "abc", "1,5", " 1.5 ", "2", None, "NaN", "1e3"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, x string")
+    got = [r.x for r in to_double(df, ["x"]).orderBy("id").collect()]
+    assert got[:7] == [None, None, None, None, 1.5, 2.0, None]
+    assert got[7] != got[7] and got[8] == 1000.0
+
+
+def test_format_measure(spark):
+    values = [1234567.125, 0.125, 0.135, 2.675, -0.001, None, float("nan")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "id int, x double")
+    got = [r.x for r in df.select("id", format_measure(F.col("x")).alias("x")).orderBy("id").collect()]
+    assert got == ["1,234,567.12", "0.12", "0.14", "2.67", "-0.00", None, "NaN"]

@@ -1,0 +1,149 @@
+import datetime
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata.operators import (
+    aggregate,
+    conform,
+    default_nulls,
+    hot_keys,
+    join_entities,
+    unify,
+    union_by_name,
+)
+
+
+def test_aggregate_text_measures(spark, rows):
+    df = spark.createDataFrame(
+        [("a", "1", "x"), ("a", "", "2"), ("a", "2", " 3 "), ("b", " ", "n/d"), (None, "5", "1")],
+        "k string, g string, b string",
+    )
+    out = aggregate(df, "k", {"g": "avg", "b": "sum"})
+    assert out.columns == ["k", "avg_g", "sum_b"]
+    assert rows(out) == sorted(
+        [("a", "1.50", "5.00"), ("b", None, None), (None, "5.00", "1.00")], key=repr
+    )
+    numeric = aggregate(df, ["k"], {"g": "sum"}, formatted=False)
+    assert dict(numeric.dtypes)["sum_g"] == "double"
+
+
+def test_aggregate_rejects_what_it_does_not_know(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, g int")
+    with pytest.raises(ValueError, match="max"):
+        aggregate(df, "k", {"g": "max"})
+    with pytest.raises(ValueError):
+        aggregate(df, "k", {})
+
+
+def _entities_and_banks(spark):
+    entities = spark.createDataFrame(
+        [("a", "1.00"), ("b", "2.00"), ("c", "3.00"), (None, "4.00")], "name string, m string"
+    )
+    banks = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 3), (None, 4), ("z", 5)], "nome string, cnpj int"
+    )
+    return entities, banks
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_join_fans_out_and_ignores_nulls(spark, rows, spread):
+    entities, banks = _entities_and_banks(spark)
+    joined = join_entities(
+        entities, banks, "name", "nome", spread_hot_keys=spread, hot_share=0.1, hot_min_rows=1
+    )
+    assert joined.columns == ["name", "m", "nome", "cnpj"]
+    assert rows(joined.drop("nome")) == [("a", "1.00", 1), ("a", "1.00", 2), ("b", "2.00", 3)]
+
+
+def test_drop_removes_the_key_of_both_sides(spark):
+    entities, banks = _entities_and_banks(spark)
+    twice = join_entities(entities.withColumnRenamed("name", "nome"), banks, "nome", "nome")
+    assert twice.columns.count("nome") == 2
+    assert twice.drop("nome").columns == ["m", "cnpj"]
+
+
+def test_hot_keys_are_bounded_by_the_share(spark, rows):
+    df = spark.range(9000).select(
+        F.when(F.col("id") < 3000, -1).otherwise(F.col("id")).alias("k")
+    )
+    assert rows(hot_keys(df, "k", share=0.01, min_rows=10)) == [(-1, 34)]
+    assert rows(hot_keys(df, "k", share=0.01, min_rows=5000)) == []
+
+
+def test_a_hot_key_of_identical_rows_is_joined_by_many_tasks(spark, with_conf):
+    """A third of the rows are copies of one row; nothing is lost and no task gets them all."""
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false",
+              spark__sql__shuffle__partitions="16")
+    n = 60_000
+    banks = spark.range(0, n, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("nome"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("v"),
+    )
+    entities = spark.range(500).select(
+        F.concat(F.lit("k"), "id").alias("name"), F.col("id").alias("m")
+    ).union(spark.createDataFrame([("hot", -1)], "name string, m bigint"))
+
+    def join(spread):
+        return join_entities(
+            entities, banks, "name", "nome", spread_hot_keys=spread, hot_share=0.05, hot_min_rows=100
+        )
+
+    def summary(df):
+        return sorted(tuple(r) for r in df.groupBy("nome", "m").agg(F.count("*"), F.sum("v")).collect())
+
+    assert summary(join(True)) == summary(join(False))
+    assert join(True).count() == n
+
+    def largest_task(df):
+        return max(
+            r["count"]
+            for r in df.where("nome = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        )
+
+    assert largest_task(join(False)) == n // 3
+    assert largest_task(join(True)) <= n // 3 // 2
+
+
+def test_default_nulls_keeps_nan_and_types(spark):
+    df = spark.createDataFrame(
+        [(None, None, None), (2, 2.5, float("nan"))], "a bigint, b double, c double"
+    )
+    out = default_nulls(df, {"a": 1, "b": 1, "c": 1})
+    assert [t for _, t in out.dtypes] == ["bigint", "double", "double"]
+    first, second = out.collect()
+    assert tuple(first) == (1, 1.0, 1.0)
+    assert second.a == 2 and second.b == 2.5 and math.isnan(second.c)
+
+
+def test_conform(spark, rows):
+    ts = datetime.datetime(2020, 1, 1, 23, 59, 59)
+    raw = spark.createDataFrame(
+        [(1, ts, None, "x"), (1, ts, None, "x"), (2, None, 3.0, "y")],
+        "VendorID bigint, pickup timestamp, Rate double, other string",
+    )
+    names = {"VendorID": "vendor_id", "pickup": "pickup", "Rate": "rate"}
+    kept = conform(raw, names, defaults={"rate": 1}, partition_date_from="pickup")
+    day = datetime.date(2020, 1, 1)
+    assert rows(kept) == sorted([(1, ts, 1.0, day)] * 2 + [(2, None, 3.0, None)], key=repr)
+    dropped = conform(raw, names, require_not_null=["pickup"])
+    assert rows(dropped) == [(1, ts, None)] * 2
+
+
+def test_unify_widens_pads_and_tags(spark, rows):
+    a = spark.createDataFrame([(1, 5)], "x bigint, y bigint")
+    b = spark.createDataFrame([(0.5, 2, "t"), (0.5, 2, "t")], "y double, x bigint, z string")
+    out = unify({"a": a, "b": b}, "kind", ["kind", "x", "y", "z"])
+    assert out.dtypes == [("kind", "string"), ("x", "bigint"), ("y", "double"), ("z", "string")]
+    assert rows(out) == sorted([("a", 1, 5.0, None)] + [("b", 2, 0.5, "t")] * 2, key=repr)
+    swapped = unify({"b": b, "a": a}, "kind", ["kind", "x", "y", "z"])
+    assert swapped.dtypes == out.dtypes
+    with pytest.raises(ValueError, match="nowhere"):
+        unify({"a": a}, "kind", ["kind", "nowhere"])
+
+
+def test_union_by_name(spark, rows):
+    a = spark.createDataFrame([(1, "p")], "id int, a string")
+    b = spark.createDataFrame([(2.5, 2)], "v double, id int")
+    assert rows(union_by_name(a, b)) == [(1, "p", None), (2, None, 2.5)]
