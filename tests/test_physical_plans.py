@@ -1,0 +1,95 @@
+"""The plans the jobs rely on at scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata.functions import clean_entity_name, normalize_values
+from lakestrata.operators import aggregate, join_entities
+from lakestrata.plans import delivery_table, gold, silver
+from lakestrata.queries import tables as t
+from lakestrata.sinks import write_layer
+from lakestrata.sources import read_layer
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_is_one_stage_with_pruned_columns(spark):
+    text = plan(silver(t.table(spark, SF, "orders").selectExpr(
+        "o_custkey as VendorID", "o_orderdate as tpep_pickup_datetime", "o_orderdate as tpep_dropoff_datetime",
+        *[f"o_totalprice as {c}" for c in (
+            "RatecodeID", "PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount",
+            "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "payment_type")]
+    ), "yellow"))
+    assert "Exchange" not in text
+    assert "PushedFilters: [IsNotNull(o_orderdate)]" in text
+    assert "o_orderpriority" not in text
+
+
+def test_gold_has_no_shuffle(spark):
+    text = plan(gold({
+        "yellow": silver(t.yellow_trips(spark, SF), "yellow"),
+        "green": silver(t.green_trips(spark, SF), "green"),
+    }))
+    assert "Exchange" not in text and "Union" in text
+
+
+def test_filters_on_gold_leave_one_pruned_branch(spark, tmp_path):
+    paths = {}
+    for colour, raw in (("yellow", t.yellow_trips), ("green", t.green_trips)):
+        paths[colour] = f"{tmp_path}/{colour}"
+        months = silver(raw(spark, SF), colour).withColumn("partition_date", F.trunc("partition_date", "year"))
+        write_layer(months, paths[colour], partition_by="partition_date")
+    table = gold({c: read_layer(spark, p) for c, p in paths.items()})
+    text = plan(table.where("taxi_type = 'green' and partition_date = date'1998-01-01'").select("fare_amount"))
+    assert text.count("FileScan parquet") == 1 and "/green" in text
+    assert re.search(r"PartitionFilters: \[isnotnull\(partition_date", text)
+    assert "ReadSchema: struct<fare_amount:double>" in text
+
+
+def test_aggregate_combines_before_its_one_shuffle(spark):
+    text = plan(aggregate(t.table(spark, SF, "lineitem"), "l_suppkey", {"l_quantity": "sum"}))
+    assert text.count("Exchange") == 1 and "partial_sum" in text
+    assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double>" in text
+
+
+def test_joined_aggregates_share_their_shuffles(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    a = aggregate(t.table(spark, SF, "lineitem"), "l_suppkey", {"l_quantity": "sum"})
+    b = aggregate(t.table(spark, SF, "events"), "user_id", {"value": "avg"})
+    assert plan(join_entities(a, b, "l_suppkey", "user_id")).count("Exchange hashpartitioning") == 2
+
+
+def test_cleaning_runs_once_per_row_and_null_test_reaches_the_scan(spark):
+    banks = clean_entity_name(
+        normalize_values(t.table(spark, SF, "supplier").selectExpr("s_name as nome", "s_suppkey as cnpj")), "nome"
+    )
+    entities = aggregate(banks, "nome", {"cnpj": "sum"})
+    text = plan(join_entities(entities, banks, "nome", "nome"))
+    assert text.count("PushedFilters: [IsNotNull(s_name)]") == 2
+    assert text.count("regexp_replace(nome") == 2 * 2  # one projection per side, two branches each
+
+
+def test_delivery_table_scans_each_fact_once(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    complaints = t.table(spark, SF, "lineitem").selectExpr(
+        "cast(l_suppkey as string) as instituicao_financeira",
+        "l_quantity as quantidade_total_de_reclamacoes",
+        "l_partkey as quantidade_total_de_clientes__ccs_e_scr",
+    )
+    employees = t.table(spark, SF, "events").selectExpr(
+        "cast(user_id as string) as nome", "value as geral", "event_id as remuneracao_e_beneficios"
+    )
+    banks = t.table(spark, SF, "supplier").selectExpr("cast(s_suppkey as string) as nome", "s_name as segmento")
+    df = delivery_table(complaints, employees, banks)
+    text = plan(df)
+    assert text.count("lineitem.parquet") == 1 and text.count("events.parquet") == 1
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # The only thing broadcast is the list of hot keys, which the share bounds.
+    broadcasts = re.findall(r"BroadcastExchange HashedRelationBroadcastMode\(List\(([^)]*)\)", text)
+    assert len(broadcasts) == 2 and text.count("hot_key") > 0

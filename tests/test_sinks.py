@@ -1,0 +1,129 @@
+import datetime
+
+import pytest
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
+
+from lakestrata.sinks import (
+    DELIVERY_SCHEMA,
+    deliver_positional,
+    write_delimited,
+    write_jdbc,
+    write_layer,
+)
+from lakestrata.sources import read_layer
+
+
+def dated(spark, n=10):
+    return spark.range(n).select(
+        "id", F.expr("if(id % 5 = 0, null, date_add(date'2020-01-01', cast(id % 3 as int)))").alias("d")
+    )
+
+
+def test_overwrite_replaces_everything(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_layer(spark.range(5), path)
+    write_layer(spark.range(2), path)
+    assert read_layer(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_partitions_by_date_with_nulls(spark, tmp_path, rows, with_conf, clustered, adaptive):
+    with_conf(spark__sql__adaptive__enabled=adaptive)
+    path = tmp_path / "t"
+    write_layer(dated(spark), str(path), partition_by="d", clustered=clustered)
+    folders = sorted(p.name for p in path.iterdir() if p.is_dir())
+    assert folders == [
+        "d=2020-01-01", "d=2020-01-02", "d=2020-01-03", "d=__HIVE_DEFAULT_PARTITION__",
+    ]
+    back = read_layer(spark, str(path))
+    assert dict(back.dtypes)["d"] == "date"
+    assert rows(back) == rows(dated(spark))
+
+
+def test_static_and_dynamic_overwrite(spark, tmp_path):
+    path = str(tmp_path / "t")
+    one_day = dated(spark).where("d = date'2020-01-02'").limit(1)
+    write_layer(dated(spark), path, partition_by="d")
+    write_layer(one_day, path, partition_by="d", overwrite_partitions="dynamic")
+    days = read_layer(spark, path).groupBy("d").count()
+    assert days.count() == 4 and days.where("d = date'2020-01-02'").first()["count"] == 1
+    write_layer(one_day, path, partition_by="d")
+    assert read_layer(spark, path).count() == 1
+
+
+def test_a_hot_date_is_split_over_tasks(spark, tmp_path, with_conf):
+    """A third of the rows, identical, have one date: several tasks write it, the rest stays packed."""
+    with_conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1k",
+    )
+    n = 90_000
+    df = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("x" * 50)).otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("v"),
+        F.when(F.col("id") % 3 == 0, F.lit(datetime.date(2020, 1, 1)))
+        .otherwise(F.expr("date_add(date'2020-01-02', cast(id % 50 as int))"))
+        .alias("d"),
+    )
+    path = tmp_path / "t"
+    write_layer(df, str(path), partition_by="d")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in path.iterdir() if p.is_dir()}
+    assert files["d=2020-01-01"] >= 4
+    assert sum(k for f, k in files.items() if f != "d=2020-01-01") <= 8 * 50
+    back = read_layer(spark, str(path))
+    assert back.count() == n and back.where("d = date'2020-01-01'").count() == n // 3
+
+
+def test_headerless_text_quotes_the_separator(spark, tmp_path):
+    df = spark.createDataFrame([("a;b", "", None)], "x string, y string, z string")
+    write_delimited(df, str(tmp_path / "t"))
+    text = "".join(p.read_text() for p in (tmp_path / "t").glob("part-*"))
+    assert text == '"a;b";"";\n'
+
+
+class Recorder:
+    """Stands for DataFrameWriter: a database would have to be started to take the rows."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def mode(self, mode):
+        self.calls["mode"] = mode
+        return self
+
+    def options(self, **options):
+        self.calls["options"] = options
+        return self
+
+    def jdbc(self, url, table, properties):
+        self.calls.update(url=url, table=table, properties=properties)
+
+
+def test_jdbc_options(spark, monkeypatch):
+    recorder = Recorder()
+    monkeypatch.setattr(type(spark.range(1)), "write", recorder)
+    secret = {"user": "u", "password": "p", "driver": "org.postgresql.Driver"}
+    write_jdbc(spark.range(1), "jdbc:postgresql://h/", "public.t", secret, truncate=True, connections=4)
+    assert recorder.calls == {
+        "mode": "overwrite",
+        "options": {"truncate": "true", "batchsize": "10000", "numPartitions": "4"},
+        "url": "jdbc:postgresql://h/",
+        "table": "public.t",
+        "properties": secret,
+    }
+
+
+def test_deliver_by_position(spark):
+    df = spark.createDataFrame(
+        [("itau", "1.00", None, "2.00", "3.00", "s1", 123)],
+        "a string, b string, c string, d string, e string, f string, g bigint",
+    )
+    out = deliver_positional(df)
+    assert out.dtypes == [(name, "string") for name in DELIVERY_SCHEMA.names]
+    assert tuple(out.first()) == ("itau", "1.00", None, "2.00", "3.00", "s1", "123")
+    assert deliver_positional(df, nulls_as_empty=True).first()[2] == ""
+    with pytest.raises(ValueError, match="6 columns"):
+        deliver_positional(df.drop("g"))
+    typed = T.StructType([T.StructField("n", T.DoubleType())])
+    assert deliver_positional(spark.createDataFrame([("1.5",)], "x string"), typed).first().n == 1.5
