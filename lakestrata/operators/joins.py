@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 
 def hot_keys(
-    df: DataFrame, key: str, share: float = 0.001, min_rows: int = 1_000_000
+    df: DataFrame, key: str, share: float = 1e-5, min_rows: int = 1_000_000
 ) -> DataFrame:
     """Keys with more than `share` of all rows (and more than `min_rows`), one row per key.
 
-    `copies` says over how many tasks the key's rows should go. Each key holds
-    more than `share` of the rows, so there are fewer than 1 / share of them
-    whatever the size of the table: safe to broadcast.
+    `copies` says over how many tasks the key's rows should go, so that none gets
+    more than about `share` of the table. Each key holds more than `share` of the
+    rows, so there are fewer than 1 / share of them (100,000 by default) whatever
+    the size of the table: safe to broadcast.
     """
     counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
     limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.sum("n") * share).scalar())
@@ -29,7 +30,7 @@ def join_entities(
     other_key: str,
     *,
     spread_hot_keys: bool = False,
-    hot_share: float = 0.001,
+    hot_share: float = 1e-5,
     hot_min_rows: int = 1_000_000,
 ) -> DataFrame:
     """Inner equi-join on differently named keys; all columns of both sides are kept.

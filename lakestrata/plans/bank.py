@@ -19,6 +19,7 @@ from lakestrata.quality import (
     expect_length_equal,
     expect_match_regex,
     expect_type,
+    read_dq_report,
     run_suite,
     watch_suite,
     write_dq_report,
@@ -112,7 +113,7 @@ def clean_source_job(
     if on_failure == "raise" or len(rowwise) < len(suite):
         outcome = run_suite(clean, suite, table)
         write_dq_report(outcome, report, run_date)
-        filed = _filed_report(spark, report, table, run_date)
+        filed = read_dq_report(spark, report, table, run_date)
         if on_failure == "raise" and not filed.where(~F.col("success")).isEmpty():
             raise DataQualityError(f"{table}: see the report under {report}")
         write_layer(clean, target)
@@ -121,15 +122,7 @@ def clean_source_job(
     watch = watch_suite(clean, suite, table)
     write_layer(watch.df, target)
     write_dq_report(watch.report(), report, run_date)
-    return _filed_report(spark, report, table, run_date)
-
-
-def _filed_report(
-    spark: SparkSession, report: str, table: str, run_date: datetime.date
-) -> DataFrame:
-    return spark.read.json(report).where(
-        (F.col("table") == table) & (F.col("report_date") == run_date.isoformat())
-    )
+    return read_dq_report(spark, report, table, run_date)
 
 
 def delivery_table(

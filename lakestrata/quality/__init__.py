@@ -9,6 +9,7 @@ from lakestrata.quality.suite import (
     DataQualityError,
     SuiteWatch,
     key_violations,
+    read_dq_report,
     run_suite,
     suite_name,
     watch_suite,
@@ -24,6 +25,7 @@ __all__ = [
     "expect_type",
     "expect_unique_key",
     "key_violations",
+    "read_dq_report",
     "run_suite",
     "suite_name",
     "watch_suite",

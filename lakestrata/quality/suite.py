@@ -6,13 +6,20 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.operators.unify import union_by_name
 from lakestrata.quality.expectations import Expectation
 
+# Columns of a filed report; the last four name its folder.
+_REPORT = """
+    suite string, expectation string, column string, success boolean, element_count bigint,
+    missing_count bigint, unexpected_count bigint, unexpected_percent double, report_date string,
+    table string, year string, month string, day string
+"""
+
 
 class DataQualityError(Exception):
     """A suite with `on_failure="raise"` has failed."""
@@ -105,6 +112,17 @@ def write_dq_report(
     )
 
 
+def read_dq_report(
+    spark: SparkSession, path: str, table: str, run_date: datetime.date
+) -> DataFrame:
+    """The filed report of one table and date; other folders are not read."""
+    day = {"year": "%Y", "month": "%m", "day": "%d"}
+    report = spark.read.schema(_REPORT).json(path).where(F.col("table") == table)
+    for column, pattern in day.items():
+        report = report.where(F.col(column) == run_date.strftime(pattern))
+    return report
+
+
 def _count_names(suite: Sequence[Expectation]) -> list[str]:
     return ["elements"] + [f"{kind}_{i}" for i in range(len(suite)) for kind in ("missing", "unexpected")]
 
