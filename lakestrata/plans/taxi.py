@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.operators import conform, default_nulls, unify
 from lakestrata.plans.paths import require_apart
 from lakestrata.sinks import write_layer
-from lakestrata.sources import concat_by_name, read_layer, read_route
+from lakestrata.sources import (
+    concat_by_name,
+    list_files,
+    read_layer,
+    read_route,
+    route_by_filename,
+)
 
 # File-name prefix of each trip category; the years kept of the two coloured ones.
 ROUTES = {
@@ -21,8 +27,11 @@ ROUTES = {
 SILVER_ROUTES = {"green": ROUTES["green"], "yellow": ROUTES["yellow"]}
 SILVER_YEARS = (2019, 2022)
 
-# Raw column -> silver column, for the columns both colours have.
-_TRIP = {
+# Raw column -> silver column of each colour, in order.
+YELLOW_COLUMNS = {
+    "VendorID": "vendor_id",
+    "tpep_pickup_datetime": "tpep_pickup_datetime",
+    "tpep_dropoff_datetime": "tpep_dropoff_datetime",
     "RatecodeID": "rate_code_id",
     "PULocationID": "pu_location_id",
     "DOLocationID": "do_location_id",
@@ -37,11 +46,63 @@ _TRIP = {
     "total_amount": "total_amount",
     "payment_type": "payment_type",
 }
+GREEN_COLUMNS = {
+    "VendorID": "vendor_id",
+    "lpep_pickup_datetime": "lpep_pickup_datetime",
+    "lpep_dropoff_datetime": "lpep_dropoff_datetime",
+    "RatecodeID": "rate_code_id",
+    "PULocationID": "pu_location_id",
+    "DOLocationID": "do_location_id",
+    "passenger_count": "passenger_count",
+    "trip_distance": "trip_distance",
+    "fare_amount": "fare_amount",
+    "extra": "extra",
+    "mta_tax": "mta_tax",
+    "tip_amount": "tip_amount",
+    "tolls_amount": "tolls_amount",
+    "improvement_surcharge": "improvement_surcharge",
+    "total_amount": "total_amount",
+    "payment_type": "payment_type",
+    "trip_type": "trip_type",
+}
+
+# What a null becomes in silver, and in gold by colour.
+SILVER_DEFAULTS = {"rate_code_id": 1}
+YELLOW_GOLD_DEFAULTS = {"passenger_count": 1, "improvement_surcharge": 0, "payment_type": 5}
+GREEN_GOLD_DEFAULTS = {
+    "passenger_count": 1,
+    "improvement_surcharge": 0,
+    "payment_type": 5,
+    "trip_type": 1,
+}
+
+# The gold columns in order.
+GOLD_COLUMNS = [
+    "vendor_id",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "rate_code_id",
+    "pu_location_id",
+    "do_location_id",
+    "passenger_count",
+    "trip_distance",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "total_amount",
+    "payment_type",
+    "trip_type",
+    "taxi_type",
+    "partition_date",
+]
 
 
 @dataclass(frozen=True)
 class Silver:
-    """Columns of a colour, the timestamp its date comes from, and whether that may be null."""
+    """Columns of a colour, its timestamps, and whether rows without a pickup stay."""
 
     columns: dict[str, str]
     pickup: str
@@ -50,34 +111,23 @@ class Silver:
     gold_defaults: dict[str, int]
 
 
-# The two silver tables and the defaults gold gives to nulls.
-GOLD_DEFAULTS = {"passenger_count": 1, "improvement_surcharge": 0, "payment_type": 5}
-SILVER_DEFAULTS = {"rate_code_id": 1}
-
-
-def _silver(prefix: str, extra: list[str], keep_null_pickup: bool, **defaults: int) -> Silver:
-    pickup, dropoff = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
-    columns = {"VendorID": "vendor_id", pickup: pickup, dropoff: dropoff, **_TRIP}
-    columns.update({c: c for c in extra})
-    return Silver(columns, pickup, dropoff, keep_null_pickup, {**GOLD_DEFAULTS, **defaults})
-
-
 SILVER = {
-    "yellow": _silver("tpep", [], keep_null_pickup=False),
-    "green": _silver("lpep", ["trip_type"], keep_null_pickup=True, trip_type=1),
+    "yellow": Silver(
+        columns=YELLOW_COLUMNS,
+        pickup="tpep_pickup_datetime",
+        dropoff="tpep_dropoff_datetime",
+        keep_null_pickup=False,
+        gold_defaults=YELLOW_GOLD_DEFAULTS,
+    ),
+    "green": Silver(
+        columns=GREEN_COLUMNS,
+        pickup="lpep_pickup_datetime",
+        dropoff="lpep_dropoff_datetime",
+        keep_null_pickup=True,
+        gold_defaults=GREEN_GOLD_DEFAULTS,
+    ),
 }
 
-# The gold columns in order.
-GOLD_COLUMNS = [
-    "vendor_id",
-    "pickup_datetime",
-    "dropoff_datetime",
-    *_TRIP.values(),
-    "trip_type",
-    "taxi_type",
-    "partition_date",
-]
-
 
 def silver(raw: DataFrame, colour: str) -> DataFrame:
     """Rename, default the rate code, derive the partition date. Yellow drops null pickups."""
@@ -110,9 +160,15 @@ def route_job(
     routes: dict[str, str] = SILVER_ROUTES,
     years: tuple[int, int] | None = SILVER_YEARS,
 ) -> None:
-    """Write the raw files of each category to `target`/`category`, rows as they are."""
+    """Write the raw files of each category to `target`/`category`, rows as they are.
+
+    A category without files is left out.
+    """
     require_apart(target, raw)
     for category, prefix in routes.items():
+        files = list_files(spark, raw, f"{prefix}*")
+        if route_by_filename(files, "file_name", prefix, years).isEmpty():
+            continue
         write_layer(read_route(spark, raw, prefix, years), f"{target.rstrip('/')}/{category}")
 
 

@@ -115,6 +115,13 @@ def test_routes_without_years_are_disjoint_and_whole(spark, raw, tmp_path):
     assert sorted(sum(parts.values(), [])) == sorted(FILES)
 
 
+def test_a_category_without_files_is_left_out(spark, tmp_path):
+    write(tmp_path / "raw" / "green_tripdata_2019-01.parquet", id=[1])
+    write(tmp_path / "raw" / "yellow_tripdata_2018-01.parquet", id=[2])
+    route_job(spark, str(tmp_path / "raw"), str(tmp_path / "silver"))
+    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["green"]
+
+
 def test_files_outside_the_route_are_not_opened(spark, raw):
     (raw / "green_tripdata_2018-01.parquet").write_bytes(b"not parquet")
     (raw / "notes_2019.txt").write_bytes(b"text")
