@@ -19,8 +19,9 @@ WHITESPACE = " \t\n\u000b\f\r"
 SUFFIXES = ["(conglomerado)", "- prudencial"]
 SUFFIX_PATTERN = r"(\(conglomerado\)|- prudencial).*"
 
-# Line ends that are not whitespace here, yet let the pattern `\s+$` match before them.
-_LINE_ENDS = ["\u0085", "\u2028", "\u2029"]
+# What ends a line for a pattern; the last three are not whitespace, yet let `\s+$`
+# match before them.
+_LINE_ENDS = ["\n", "\r", "\u0085", "\u2028", "\u2029"]
 
 
 def _null_only_with(source: Column, value: Column) -> Column:
@@ -60,12 +61,18 @@ def entity_name(value: Column) -> Column:
     runs to the end of its line: text after a line break is kept. Regular
     expressions run only on the values that need one.
     """
-    odd_end = reduce(or_, [value.endswith(end) for end in _LINE_ENDS])
-    has_suffix = reduce(or_, [value.contains(suffix) for suffix in SUFFIXES])
+    odd_end = reduce(or_, [value.endswith(end) for end in _LINE_ENDS[2:]])
     stripped = F.when(odd_end, F.regexp_replace(value, r"^\s+|\s+$", "")).otherwise(
         F.btrim(value, F.lit(WHITESPACE))
     )
-    cut = F.when(has_suffix, F.regexp_replace(stripped, SUFFIX_PATTERN, "")).otherwise(stripped)
+    has_suffix = reduce(or_, [value.contains(suffix) for suffix in SUFFIXES])
+    has_lines = reduce(or_, [value.contains(end) for end in _LINE_ENDS])
+    before_suffix = reduce(lambda text, suffix: F.substring_index(text, suffix, 1), SUFFIXES, stripped)
+    cut = (
+        F.when(~has_suffix, stripped)
+        .when(has_lines, F.regexp_replace(stripped, SUFFIX_PATTERN, ""))
+        .otherwise(before_suffix)
+    )
     return _null_only_with(value, F.trim(cut))
 
 

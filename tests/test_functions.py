@@ -79,7 +79,7 @@ def _random_texts(pieces, n, seed):
 
 def test_entity_name_equals_the_plain_patterns(spark):
     pieces = [
-        " ", "\t", "\n", "\r", "\u000b", "\u0085", "\u2028", "\u2029", "\u00a0", "\u001c",
+        " ", "\r\n", "\t", "\n", "\r", "\u000b", "\u0085", "\u2028", "\u2029", "\u00a0", "\u001c",
         "(conglomerado)", "- prudencial", "(conglom", "prudencial", "-", "a", "é", "xyz",
     ]
     texts = _random_texts(pieces, 6000, 7)
@@ -116,6 +116,20 @@ def test_to_double(spark):
     assert got[7] != got[7] and got[8] == 1000.0
 
 
+def test_text_is_parsed_as_a_plain_cast_does(spark):
+    pieces = ["1", "0", ".", "-", "+", " ", "e", "d", "x", "p", "inf", "Infinity", "NaN", "nan", ",", "\t"]
+    texts = _random_texts(pieces, 4000, 3) + ["Inf", "-INF", "+infinity", "nAn", "0x1p3", "1d", "٣"]
+    df = spark.createDataFrame([(i, x, x) for i, x in enumerate(texts)], "id int, x string, y string")
+    both = to_double(df, ["x"]).withColumn("y", F.col("y").try_cast("double"))
+    assert both.where("not (x <=> y)").collect() == []
+    assert both.where("x is not null").count() > 100
+
+
+def test_numbers_are_cast(spark):
+    df = spark.createDataFrame([(1, True)], "n bigint, b boolean")
+    assert tuple(to_double(df, ["n", "b"]).first()) == (1.0, 1.0)
+
+
 def test_format_measure(spark):
     values = [1234567.125, 0.125, 0.135, 2.675, -0.001, None, float("nan")]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "id int, x double")
