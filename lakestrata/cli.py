@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--colour", choices=sorted(plans.SILVER), required=True)
     silver.add_argument("--source", required=True)
     silver.add_argument("--target", required=True)
+    silver.add_argument("--from-raw", action="store_true", help="the source is not routed yet")
 
     gold = jobs.add_parser("gold", help="unite the silver trips")
     for name in ("--yellow", "--green", "--target"):
@@ -88,7 +89,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         chosen = (plans.ROUTES, None) if args.all_categories else (plans.SILVER_ROUTES, plans.SILVER_YEARS)
         plans.route_job(spark, args.source, args.target, *chosen)
     elif args.job == "silver":
-        plans.silver_job(spark, args.colour, args.source, args.target)
+        plans.silver_job(spark, args.colour, args.source, args.target, from_raw=args.from_raw)
     elif args.job == "gold":
         plans.gold_job(spark, {"yellow": args.yellow, "green": args.green}, args.target)
     elif args.job == "export-jdbc":

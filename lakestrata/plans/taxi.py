@@ -173,20 +173,32 @@ def route_job(
 
 
 def silver_job(
-    spark: SparkSession, colour: str, source: str, target: str, *, clustered: bool = False
+    spark: SparkSession,
+    colour: str,
+    source: str,
+    target: str,
+    *,
+    from_raw: bool = False,
+    years: tuple[int, int] | None = SILVER_YEARS,
+    clustered: bool = False,
 ) -> None:
-    """Raw trips of one colour to a dataset partitioned by date.
+    """Trips of one colour to a dataset partitioned by date.
+
+    `source` is what `route_job` wrote, or, with `from_raw=True`, the raw files
+    of all categories: the colour's files of `years` are then picked while
+    reading, which saves writing the routed copy.
 
     By default rows are shuffled by date, which gives few, evenly sized files.
     Raw files that hold few dates each may be written as they lie, without a
     shuffle, by `clustered=True`.
     """
     require_apart(target, source)
+    if from_raw:
+        trips = read_route(spark, source, SILVER_ROUTES[colour], years)
+    else:
+        trips = concat_by_name(spark, source)
     write_layer(
-        silver(concat_by_name(spark, source), colour),
-        target,
-        partition_by="partition_date",
-        clustered=clustered,
+        silver(trips, colour), target, partition_by="partition_date", clustered=clustered
     )
 
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Expectation:
-    """`broken(df, value)` says whether a value that is not null breaks the rule.
+    """`broken(df, column)` says whether a value that is not null breaks the rule.
+
+    `column` may be the raw header of a normalised column.
 
     `unique_key` rules look at all rows of a key instead, and count nulls
     against success.
@@ -19,7 +21,7 @@ class Expectation:
 
     name: str
     column: str
-    broken: Callable[[DataFrame, Column], Column] | None = None
+    broken: Callable[[DataFrame, str], Column] | None = None
     unique_key: bool = False
 
 
@@ -27,7 +29,7 @@ def expect_match_regex(column: str, pattern: str) -> Expectation:
     return Expectation(
         "expect_column_values_to_match_regex",
         column,
-        lambda df, value: ~value.cast("string").rlike(pattern),
+        lambda df, name: ~F.col(name).cast("string").rlike(pattern),
     )
 
 
@@ -35,7 +37,7 @@ def expect_length_equal(column: str, length: int) -> Expectation:
     return Expectation(
         "expect_column_value_lengths_to_equal",
         column,
-        lambda df, value: F.length(value.cast("string")) != length,
+        lambda df, name: F.length(F.col(name).cast("string")) != length,
     )
 
 
@@ -44,7 +46,7 @@ def expect_type(column: str, type_name: str) -> Expectation:
     return Expectation(
         "expect_column_values_to_be_of_type",
         column,
-        lambda df, value: F.lit(df.schema[column].dataType.simpleString() != type_name),
+        lambda df, name: F.lit(df.schema[name].dataType.simpleString() != type_name),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.functions.naming import normalize_name
 from lakestrata.operators.unify import union_by_name
 from lakestrata.quality.expectations import Expectation
 
@@ -127,22 +128,27 @@ def _count_names(suite: Sequence[Expectation]) -> list[str]:
     return ["elements"] + [f"{kind}_{i}" for i in range(len(suite)) for kind in ("missing", "unexpected")]
 
 
+def _find(df: DataFrame, column: str) -> str | None:
+    """The column of that name, or of its normalised name."""
+    return next((c for c in (column, normalize_name(column)) if c in df.columns), None)
+
+
 def _counts(df: DataFrame, suite: Sequence[Expectation]) -> list[Column]:
     counts = [F.count(F.lit(1)).alias("elements")]
     for i, expectation in enumerate(suite):
-        if expectation.column in df.columns:
-            value = F.col(expectation.column)
-            missing, unexpected = value.isNull(), value.isNotNull() & expectation.broken(df, value)
-        else:
-            missing = unexpected = F.lit(False)
+        name = _find(df, expectation.column)
+        missing = unexpected = F.lit(False)
+        if name is not None:
+            missing = F.col(name).isNull()
+            unexpected = F.col(name).isNotNull() & expectation.broken(df, name)
         counts.append(F.count_if(missing).alias(f"missing_{i}"))
         counts.append(F.count_if(unexpected).alias(f"unexpected_{i}"))
     return counts
 
 
 def _key_counts(df: DataFrame, expectation: Expectation) -> DataFrame:
-    key = expectation.column
-    if key not in df.columns:
+    key = _find(df, expectation.column)
+    if key is None:
         return df.agg(*_counts(df, [expectation]))
     groups = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     is_null = F.col("key").isNull()
@@ -161,7 +167,8 @@ def _report(
     """Turn the one row of counts into one row per expectation."""
     rows = []
     for i, expectation in enumerate(suite):
-        known = expectation.column in df.columns
+        name = _find(df, expectation.column)
+        known = name is not None
         missing, unexpected = F.col(f"missing_{i}"), F.col(f"unexpected_{i}")
         success = F.lit(known)
         if known:
@@ -169,7 +176,7 @@ def _report(
             if expectation.unique_key:
                 success = success & (missing == 0)
             elif expectation.name == "expect_column_values_to_be_of_type":
-                success = ~expectation.broken(df, F.col(expectation.column))
+                success = ~expectation.broken(df, name)
         # A column the table lacks has no counts.
         shown = (lambda c: c) if known else (lambda c: F.lit(None).cast("bigint"))
         present = F.col("elements") - missing

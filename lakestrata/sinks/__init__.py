@@ -1,4 +1,9 @@
-from lakestrata.sinks.delivery import DELIVERY_KEY, DELIVERY_SCHEMA, deliver_positional
+from lakestrata.sinks.delivery import (
+    DELIVERY_KEY,
+    DELIVERY_SCHEMA,
+    deliver_positional,
+    delivery_ddl,
+)
 from lakestrata.sinks.files import write_delimited, write_layer
 from lakestrata.sinks.jdbc import write_jdbc
 
@@ -6,6 +11,7 @@ __all__ = [
     "DELIVERY_KEY",
     "DELIVERY_SCHEMA",
     "deliver_positional",
+    "delivery_ddl",
     "write_delimited",
     "write_jdbc",
     "write_layer",

@@ -40,3 +40,17 @@ def deliver_positional(
             value = F.coalesce(value, F.lit(""))
         columns.append(value.alias(field.name))
     return df.select(*columns)
+
+
+def delivery_ddl(
+    table: str, schema: T.StructType = DELIVERY_SCHEMA, key: str = DELIVERY_KEY
+) -> str:
+    """Statements that drop and create the delivery table, for the database's own client.
+
+    Spark's writer cannot declare a primary key; load into a table made by these
+    with `mode="append"`, or with `truncate=True`, to keep the key.
+    """
+    sql_types = {T.StringType(): "varchar", T.DoubleType(): "double precision"}
+    columns = [f"{f.name} {sql_types.get(f.dataType, f.dataType.simpleString())}" for f in schema]
+    body = ",\n    ".join([*columns, f"primary key ({key})"])
+    return f"drop table if exists {table};\ncreate table {table} (\n    {body}\n);\n"

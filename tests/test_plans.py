@@ -215,6 +215,11 @@ def test_taxi_jobs_from_the_command_line(spark, tmp_path):
     for colour in ("yellow", "green"):
         main(["silver", "--colour", colour, "--source", f"{tmp_path}/routed/{colour}",
               "--target", f"{tmp_path}/silver/{colour}"])
+    main(["silver", "--colour", "green", "--source", f"{tmp_path}/raw", "--from-raw",
+          "--target", f"{tmp_path}/direct"])
+    direct, routed = (read_layer(spark, f"{tmp_path}/{p}") for p in ("direct", "silver/green"))
+    assert direct.columns == routed.columns
+    assert direct.exceptAll(routed).isEmpty() and routed.exceptAll(direct).isEmpty()
     main(["gold", "--yellow", f"{tmp_path}/silver/yellow", "--green", f"{tmp_path}/silver/green",
           "--target", f"{tmp_path}/gold"])
     assert read_layer(spark, f"{tmp_path}/gold").count() == 11

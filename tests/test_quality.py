@@ -123,3 +123,9 @@ def test_report_layout_and_second_run(people, spark, tmp_path):
     assert counts == {"Empregados": 5, "Banco": 2}
     write_dq_report(run_suite(people, SUITE[:2], "Banco"), str(path), DAY, mode="append")
     assert spark.read.json(str(path)).where("table = 'Banco'").count() == 4
+
+
+def test_raw_headers_find_their_normalised_columns(people):
+    suite = [expect_match_regex("Nome", r"^\D*$"), expect_unique_key("CNPJ")]
+    report = run_suite(people, suite, "Empregados").collect()
+    assert [(r["column"], r.unexpected_count) for r in report] == [("Nome", 1), ("CNPJ", 2)]

@@ -1,0 +1,28 @@
+import os
+
+import pytest
+
+from lakestrata.session import work_folder
+
+
+def test_work_folder_lies_in_the_shared_folder_of_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    assert first != second and os.path.dirname(first) == os.path.dirname(second) == root
+
+
+class Cluster:
+    """Stands for a session on a cluster that names no shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+    class sparkContext:
+        master = "yarn"
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Cluster(), "x")

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from lakestrata.sinks import (
     DELIVERY_SCHEMA,
     deliver_positional,
+    delivery_ddl,
     write_delimited,
     write_jdbc,
     write_layer,
@@ -127,3 +128,10 @@ def test_deliver_by_position(spark):
         deliver_positional(df.drop("g"))
     typed = T.StructType([T.StructField("n", T.DoubleType())])
     assert deliver_positional(spark.createDataFrame([("1.5",)], "x string"), typed).first().n == 1.5
+
+
+def test_delivery_ddl():
+    drop, create, rest = delivery_ddl("delivery").split(";\n")
+    assert drop == "drop table if exists delivery" and rest == ""
+    assert create.startswith("create table delivery (\n    nome_banco varchar,\n")
+    assert create.count(" varchar,") == 7 and create.endswith("cnpj varchar,\n    primary key (cnpj)\n)")
