@@ -48,7 +48,7 @@ def _read(spark, paths, glob, keep, provenance) -> DataFrame:
         .option("pathGlobFilter", glob)
         .parquet(*paths)
     )
-    name = F.col("_metadata.file_name")
+    name = _decoded(F.col("_metadata.file_name"))
     columns = df.columns
     if keep is not None:
         df = df.where(keep(name))
@@ -57,6 +57,12 @@ def _read(spark, paths, glob, keep, provenance) -> DataFrame:
     return df.select(*columns)
 
 
+def _decoded(name: Column) -> Column:
+    """Spark gives file names percent-encoded, with a plus sign as it is."""
+    protected = F.replace(name, F.lit("+"), F.lit("%2B"))
+    return F.when(name.contains("%"), F.url_decode(protected)).otherwise(name)
+
+
 def _files_by_schema(spark, paths, glob, keep) -> list[list[str]]:
     """File paths grouped by the schema in their footers.
 
@@ -69,6 +75,8 @@ def _files_by_schema(spark, paths, glob, keep) -> list[list[str]]:
 
     # Defined here so that it travels with the job, not by an import on the executors.
     def footer_fields(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import quote
+
         import pyarrow.parquet as pq
         from pyarrow import fs
 
@@ -79,7 +87,7 @@ def _files_by_schema(spark, paths, glob, keep) -> list[list[str]]:
                 if uri.startswith("file:"):
                     system, inner = fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
                 else:
-                    system, inner = fs.FileSystem.from_uri(uri)
+                    system, inner = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
                 with system.open_input_file(inner) as handle:
                     schema = pq.read_schema(handle)
                 fields.append("\n".join(f"{f.name}: {f.type}" for f in schema))

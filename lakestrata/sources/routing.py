@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.sources.concat import concat_by_name
+from lakestrata.sources.files import list_files
 
 
 def name_year(file_name: Column) -> Column:
@@ -36,16 +41,33 @@ def read_route(
 ) -> DataFrame:
     """The parquet files below `path` that belong to a route, concatenated by name.
 
-    The glob drops other files while listing; the exact test on the name then
-    drops whole files before any of them is opened.
+    A glob picks them while listing. Where names have something between prefix
+    and year, the glob is wider and a test of the name drops the other files
+    before they are opened; Spark repeats that test on each row, so it is added
+    only then.
     """
-    glob = f"{prefix}*"
-    if years is not None:
-        glob += "{" + ",".join(str(y) for y in range(years[0], years[1] + 1)) + "}*"
+    if years is None:
+        return concat_by_name(spark, path, glob=f"{prefix}*", provenance=provenance)
+    wanted = "{" + ",".join(str(year) for year in range(years[0], years[1] + 1)) + "}"
+    if _year_follows(prefix, years):
+        direct = reduce(
+            or_, [F.col("file_name").startswith(f"{prefix}{y}") for y in range(years[0], years[1] + 1)]
+        )
+        named = route_by_filename(list_files(spark, path, f"{prefix}*"), "file_name", prefix, years)
+        if named.where(~direct).isEmpty():
+            return concat_by_name(spark, path, glob=f"{prefix}{wanted}*", provenance=provenance)
     return concat_by_name(
         spark,
         path,
-        glob=glob,
+        glob=f"{prefix}*{wanted}*",
         keep=lambda name: _belongs(name, prefix, years),
         provenance=provenance,
     )
+
+
+def _year_follows(prefix: str, years: tuple[int, int]) -> bool:
+    """Whether the first four digits of a name made of prefix and year are that year."""
+    return all(
+        re.search("[0-9]{4}", f"{prefix}{year}").group() == str(year)
+        for year in range(years[0], years[1] + 1)
+    )

@@ -138,6 +138,37 @@ def test_route_with_types_that_differ(spark, tmp_path, rows):
     assert rows(out) == [(1.0,), (2.5,)]
 
 
+@pytest.mark.parametrize(
+    "name, belongs",
+    [
+        ("t_v2_2020.parquet", True),
+        ("t_12_2020.parquet", True),
+        ("t_1234_2020.parquet", False),
+        ("t_20205.parquet", True),
+        ("t_12020.parquet", False),
+        ("t_.parquet", False),
+        ("T_2020.parquet", False),
+    ],
+)
+def test_year_of_unusual_names(spark, tmp_path, name, belongs):
+    write(tmp_path / "t_2019.parquet", id=[0])
+    write(tmp_path / name, id=[1])
+    found = read_route(spark, str(tmp_path), "t_", (2019, 2022), provenance="f").collect()
+    assert sorted(r.f for r in found) == sorted(["t_2019.parquet"] + [name] * belongs)
+
+
+def test_prefix_that_ends_in_digits(spark, tmp_path):
+    write(tmp_path / "t12019.parquet", id=[0])
+    write(tmp_path / "t1_2019.parquet", id=[1])
+    assert [r.id for r in read_route(spark, str(tmp_path), "t1", (2019, 2022)).collect()] == [1]
+
+
+def test_usual_names_need_no_test_per_row(spark, raw):
+    df = read_route(spark, str(raw), "yellow_tripdata_", (2019, 2022))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters: []" in text and " Filter " not in text
+
+
 def test_route_rows_by_a_column(spark, rows):
     df = spark.createDataFrame([(n,) for n in FILES], "f string")
     out = route_by_filename(df, "f", "yellow_tripdata_", (2019, 2022))
@@ -156,3 +187,14 @@ def test_landing_reports_names_that_meet(spark, tmp_path, rows):
     assert [(r.file_name, r.n_files) for r in found] == [("x.parquet", 2)]
     assert found[0].first_path.endswith("/a/x.parquet")
     assert found[0].last_path.endswith("/b/c/x.parquet")
+
+
+def test_paths_with_spaces_and_marks(spark, tmp_path, rows):
+    root = tmp_path / "trip data"
+    write(root / "a b" / "x é 1.parquet", id=[1], n=pa.array([1], pa.int64()))
+    write(root / "c%20d" / "x+2.parquet", id=[2], n=pa.array([2.5], pa.float64()))
+    wanted = [(1, 1.0, "x é 1.parquet"), (2, 2.5, "x+2.parquet")]
+    assert rows(land_recursive(spark, str(root))) == wanted
+    assert rows(list_files(spark, str(root)).select("file_name")) == [(w[2],) for w in wanted]
+    one = land_recursive(spark, str(root / "a b"))
+    assert rows(one) == [(1, 1, "x é 1.parquet")]
