@@ -46,9 +46,9 @@ def normalize_values(df: DataFrame) -> DataFrame:
     """Lower-case and fold every string column, in one projection."""
     return df.select(
         *[
-            fold_accents(F.col(_quoted(field.name))).alias(field.name)
+            fold_accents(F.col(quoted(field.name))).alias(field.name)
             if isinstance(field.dataType, T.StringType)
-            else F.col(_quoted(field.name))
+            else F.col(quoted(field.name))
             for field in df.schema.fields
         ]
     )
@@ -77,8 +77,9 @@ def entity_name(value: Column) -> Column:
 
 
 def clean_entity_name(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, entity_name(F.col(_quoted(column))))
+    return df.withColumn(column, entity_name(F.col(quoted(column))))
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
+    """The name as `F.col` takes it when it may hold a dot."""
     return "`" + name.replace("`", "``") + "`"

@@ -11,15 +11,15 @@ def hot_keys(
 ) -> DataFrame:
     """Keys with more than `share` of all rows (and more than `min_rows`), one row per key.
 
-    `copies` says over how many tasks the key's rows should go, so that none gets
+    `__copies` says over how many tasks the key's rows should go, so that none gets
     more than about `share` of the table. Each key holds more than `share` of the
     rows, so there are fewer than 1 / share of them (100,000 by default) whatever
     the size of the table: safe to broadcast.
     """
-    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(F.col(key).alias("__hot_key")).agg(F.count(F.lit(1)).alias("n"))
     limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.sum("n") * share).scalar())
     return counts.where(F.col("n") > limit).select(
-        "hot_key", F.ceil(F.col("n") / limit).cast("int").alias("copies")
+        "__hot_key", F.ceil(F.col("n") / limit).cast("int").alias("__copies")
     )
 
 
@@ -50,20 +50,20 @@ def join_entities(
 
     present = other.where(F.col(other_key).isNotNull())
     hot = F.broadcast(hot_keys(present, other_key, hot_share, hot_min_rows))
-    spread = present.join(hot, F.col(other_key) == F.col("hot_key"), "left").select(
+    spread = present.join(hot, F.col(other_key) == F.col("__hot_key"), "left").select(
         *[present[c] for c in present.columns],
-        F.pmod(F.spark_partition_id(), F.coalesce("copies", F.lit(1))).alias("other_slot"),
+        F.pmod(F.spark_partition_id(), F.coalesce("__copies", F.lit(1))).alias("__other_slot"),
     )
-    copied = entities.join(hot, F.col(entity_key) == F.col("hot_key"), "left").select(
+    copied = entities.join(hot, F.col(entity_key) == F.col("__hot_key"), "left").select(
         *[entities[c] for c in entities.columns],
         F.explode(
-            F.when(F.col("copies").isNull(), F.array(F.lit(0))).otherwise(
-                F.sequence(F.lit(0), F.col("copies") - 1)
+            F.when(F.col("__copies").isNull(), F.array(F.lit(0))).otherwise(
+                F.sequence(F.lit(0), F.col("__copies") - 1)
             )
-        ).alias("entity_slot"),
+        ).alias("__entity_slot"),
     )
     return copied.join(
         spread,
-        (copied[entity_key] == spread[other_key]) & (F.col("entity_slot") == F.col("other_slot")),
+        (copied[entity_key] == spread[other_key]) & (F.col("__entity_slot") == F.col("__other_slot")),
         "inner",
-    ).drop("entity_slot", "other_slot")
+    ).drop("__entity_slot", "__other_slot")

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.functions.text import quoted
+
 
 @dataclass(frozen=True)
 class Expectation:
@@ -29,7 +31,7 @@ def expect_match_regex(column: str, pattern: str) -> Expectation:
     return Expectation(
         "expect_column_values_to_match_regex",
         column,
-        lambda df, name: ~F.col(name).cast("string").rlike(pattern),
+        lambda df, name: ~F.col(quoted(name)).cast("string").rlike(pattern),
     )
 
 
@@ -37,7 +39,7 @@ def expect_length_equal(column: str, length: int) -> Expectation:
     return Expectation(
         "expect_column_value_lengths_to_equal",
         column,
-        lambda df, name: F.length(F.col(name).cast("string")) != length,
+        lambda df, name: F.length(F.col(quoted(name)).cast("string")) != length,
     )
 
 

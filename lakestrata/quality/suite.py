@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions.naming import normalize_name
+from lakestrata.functions.text import quoted
 from lakestrata.operators.unify import union_by_name
 from lakestrata.quality.expectations import Expectation
 
@@ -139,8 +140,8 @@ def _counts(df: DataFrame, suite: Sequence[Expectation]) -> list[Column]:
         name = _find(df, expectation.column)
         missing = unexpected = F.lit(False)
         if name is not None:
-            missing = F.col(name).isNull()
-            unexpected = F.col(name).isNotNull() & expectation.broken(df, name)
+            missing = F.col(quoted(name)).isNull()
+            unexpected = ~missing & expectation.broken(df, name)
         counts.append(F.count_if(missing).alias(f"missing_{i}"))
         counts.append(F.count_if(unexpected).alias(f"unexpected_{i}"))
     return counts
@@ -150,7 +151,7 @@ def _key_counts(df: DataFrame, expectation: Expectation) -> DataFrame:
     key = _find(df, expectation.column)
     if key is None:
         return df.agg(*_counts(df, [expectation]))
-    groups = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(F.col(quoted(key)).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     is_null = F.col("key").isNull()
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("elements"),

@@ -64,6 +64,16 @@ def test_drop_removes_the_key_of_both_sides(spark):
     assert twice.drop("nome").columns == ["m", "cnpj"]
 
 
+def test_spread_join_of_tables_with_awkward_column_names(spark, rows):
+    entities = spark.createDataFrame([("a", 1)], "k string, copies int")
+    other = spark.createDataFrame([("a", 2, 3), ("a", 2, 3)], "k string, hot_key int, n int")
+    joined = join_entities(
+        entities, other, "k", "k", spread_hot_keys=True, hot_share=0.1, hot_min_rows=1
+    )
+    assert joined.columns == ["k", "copies", "k", "hot_key", "n"]
+    assert rows(joined) == [("a", 1, "a", 2, 3)] * 2
+
+
 def test_hot_keys_are_bounded_by_the_share(spark, rows):
     df = spark.range(9000).select(
         F.when(F.col("id") < 3000, -1).otherwise(F.col("id")).alias("k")

@@ -92,4 +92,4 @@ def test_delivery_table_scans_each_fact_once(spark, with_conf):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # The only thing broadcast is the list of hot keys, which the share bounds.
     broadcasts = re.findall(r"BroadcastExchange HashedRelationBroadcastMode\(List\(([^)]*)\)", text)
-    assert len(broadcasts) == 2 and text.count("hot_key") > 0
+    assert len(broadcasts) == 2 and text.count("__hot_key") > 0

@@ -129,3 +129,11 @@ def test_raw_headers_find_their_normalised_columns(people):
     suite = [expect_match_regex("Nome", r"^\D*$"), expect_unique_key("CNPJ")]
     report = run_suite(people, suite, "Empregados").collect()
     assert [(r["column"], r.unexpected_count) for r in report] == [("Nome", 1), ("CNPJ", 2)]
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([("a1", None), ("b", 2)], "`x.y` string, `z.w` int")
+    suite = [expect_match_regex("x.y", r"^\D*$"), expect_type("z.w", "int"), expect_unique_key("z.w")]
+    assert [(r.success, r.missing_count, r.unexpected_count) for r in run_suite(df, suite, "t").collect()] == [
+        (False, 0, 1), (True, 1, 0), (False, 1, 0),
+    ]
