@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakestrata.functions.text import quoted
 
 
 def union_by_name(*tables: DataFrame) -> DataFrame:
-    """Rows of all tables, columns matched by name; a column a table lacks is null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    """Rows of all tables, columns matched by name; a column a table lacks is null.
+
+    Types widen as in any union. A column that is text in one table and something
+    else in another (an empty column is stored as an integer) becomes text.
+    """
+    types = defaultdict(set)
+    for df in tables:
+        for field in df.schema.fields:
+            types[field.name.lower()].add(field.dataType)
+    mixed = {
+        name
+        for name, found in types.items()
+        if len(found) > 1 and any(isinstance(t, T.StringType) for t in found)
+    }
+    as_text = [
+        df.withColumns({c: F.col(quoted(c)).cast("string") for c in df.columns if c.lower() in mixed})
+        for df in tables
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), as_text)
 
 
 def unify(branches: Mapping[str, DataFrame], tag: str, columns: Sequence[str]) -> DataFrame:

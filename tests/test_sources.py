@@ -70,6 +70,16 @@ def test_concat_widens_types_that_differ(spark, tmp_path, rows):
     ]
 
 
+def test_concat_of_columns_that_are_empty_or_differ_in_case(spark, tmp_path, rows):
+    write(tmp_path / "x1.parquet", id=[1], fee=pa.nulls(1), flag=pa.nulls(1), Extra=[1])
+    write(tmp_path / "x2.parquet", id=[2], fee=[2.5], flag=["Y"], extra=[0.5])
+    out = concat_by_name(spark, str(tmp_path))
+    assert [(c.lower(), t) for c, t in out.dtypes] == [
+        ("id", "bigint"), ("fee", "double"), ("flag", "string"), ("extra", "double"),
+    ]
+    assert rows(out) == [(1, None, None, 1.0), (2, 2.5, "Y", 0.5)]
+
+
 def test_name_year(spark):
     names = ["a_2019-01", "a_20220-12", "a_latest", "v1_1999_2020", None]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
