@@ -12,7 +12,7 @@ from lakestrata.session import get_session  # noqa: E402
 def spark(tmp_path_factory):
     session = get_session(
         "tests",
-        "local[4]",
+        "local[4, 2]",  # a task may fail once
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",

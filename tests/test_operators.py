@@ -116,6 +116,26 @@ def test_a_hot_key_of_identical_rows_is_joined_by_many_tasks(spark, with_conf):
     assert largest_task(join(True)) <= n // 3 // 2
 
 
+def test_spread_join_is_whole_when_tasks_run_again(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+
+    def fail_once(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("lost")
+
+    banks = spark.range(0, 9000, 1, 6).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) as nome", "id as v")
+    flaky = banks.mapInPandas(fail_once, banks.schema)
+    entities = banks.select(F.col("nome").alias("name")).distinct()
+    joined = join_entities(
+        entities, flaky, "name", "nome", spread_hot_keys=True, hot_share=0.05, hot_min_rows=100
+    )
+    assert sorted(r.v for r in joined.select("v").collect()) == list(range(9000))
+
+
 def test_default_nulls_keeps_nan_and_types(spark):
     df = spark.createDataFrame(
         [(None, None, None), (2, 2.5, float("nan"))], "a bigint, b double, c double"
