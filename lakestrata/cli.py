@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--encoding")
     clean.add_argument("--entity-column")
     clean.add_argument("--schema", help="DDL of the raw columns; inferred if left out")
+    clean.add_argument("--no-infer", action="store_true", help="keep every column as text")
     clean.add_argument("--on-failure", choices=["record", "raise"], default="record")
 
     table = jobs.add_parser("delivery-table", help="aggregate and join the cleaned sources")
@@ -81,6 +82,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             encoding=args.encoding,
             entity_column=args.entity_column,
             schema=args.schema,
+            infer=not args.no_infer,
             on_failure=args.on_failure,
         )
     elif args.job == "delivery-table":

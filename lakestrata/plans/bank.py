@@ -80,6 +80,7 @@ def clean_source_job(
     encoding: str | None = None,
     entity_column: str | None = None,
     schema: T.StructType | str | None = None,
+    infer: bool = True,
     suite: Sequence[Expectation] | None = None,
     on_failure: str = "record",
     legacy_upper_o: bool = False,
@@ -103,6 +104,7 @@ def clean_source_job(
         separator=known.separator if separator is None else separator,
         encoding=known.encoding if encoding is None else encoding,
         schema=schema,
+        infer=infer,
     )
     clean = clean_source(
         raw, known.entity_column if entity_column is None else entity_column, legacy_upper_o

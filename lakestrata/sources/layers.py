@@ -15,16 +15,18 @@ def read_delimited(
     separator: str = ",",
     encoding: str = "utf-8",
     schema: T.StructType | str | None = None,
+    infer: bool = True,
     **options: Any,
 ) -> DataFrame:
     """A directory of delimited text with a header row.
 
-    Types are inferred from all rows, which reads the text once more; give
-    `schema` for large sources to save that pass.
+    Types are inferred from all rows, which reads the text once more. For large
+    sources give `schema`, or `infer=False` to keep every column as text; either
+    saves that pass.
     """
     reader = spark.read.options(header=True, sep=separator, encoding=encoding, **options)
     if schema is None:
-        reader = reader.option("inferSchema", True)
+        reader = reader.option("inferSchema", infer)
     else:
         reader = reader.schema(schema)
     return reader.csv(path)

@@ -99,6 +99,18 @@ def test_bank_jobs_from_the_command_line(spark, sources, rows):
     assert spark.read.json(f"{sources}/dq").count() == 3
 
 
+def test_text_kept_as_text_gives_the_same_measures(spark, sources, rows):
+    for table in ("Reclamacoes", "Banco", "Empregados"):
+        clean(spark, sources, table, infer=False)
+    banks = read_layer(spark, f"{sources}/target/Banco")
+    assert {t for _, t in banks.dtypes} == {"string"}
+    delivery_table_job(
+        spark, *[f"{sources}/target/{t}" for t in ("Reclamacoes", "Empregados", "Banco")], f"{sources}/d"
+    )
+    as_text = [(*w[:-1], None if w[-1] is None else str(w[-1])) for w in WANTED_DELIVERY]
+    assert rows(read_layer(spark, f"{sources}/d")) == sorted(as_text, key=repr)
+
+
 def test_failing_suite_can_stop_the_job(spark, sources):
     with pytest.raises(DataQualityError, match="Banco"):
         clean(spark, sources, "Banco", on_failure="raise")
