@@ -64,6 +64,13 @@ def test_drop_removes_the_key_of_both_sides(spark):
     assert twice.drop("nome").columns == ["m", "cnpj"]
 
 
+@pytest.mark.parametrize("condition", ["false", "nome is null"])
+def test_spread_join_to_nothing(spark, condition):
+    entities, banks = _entities_and_banks(spark)
+    joined = join_entities(entities, banks.where(condition), "name", "nome", spread_hot_keys=True)
+    assert joined.collect() == []
+
+
 def test_spread_join_of_tables_with_awkward_column_names(spark, rows):
     entities = spark.createDataFrame([("a", 1)], "k string, copies int")
     other = spark.createDataFrame([("a", 2, 3), ("a", 2, 3)], "k string, hot_key int, n int")
