@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.llm.byte_bpe import bpe_round_trip
 from lakestrata.llm.common import table
 from lakestrata.llm.exact_dedup import duplicate_groups
+from lakestrata.llm.packing import pack_documents
 from lakestrata.llm.sharding import shard_rows
 from lakestrata.llm.token_counts import token_counts
+from lakestrata.llm.token_files import read_token_files, write_token_files
+from lakestrata.llm.topk import top_k
+from lakestrata.session import work_folder
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,19 +30,60 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "token-files")
+    write_token_files(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    return read_token_files(spark, path)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"), hash_all=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_byte_bpe, op6_sharding, op9_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op4_byte_bpe,
+        op5_topk,
+        op6_sharding,
+        op7_token_files,
+        op8_packing,
+        op9_exact_dedup,
+    )
 }
 
 ORACLES: dict[str, str] = {
+    "op5_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
