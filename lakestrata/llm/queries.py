@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.llm.byte_bpe import bpe_round_trip
 from lakestrata.llm.common import table
 from lakestrata.llm.exact_dedup import duplicate_groups
+from lakestrata.llm.near_dup import near_duplicates
 from lakestrata.llm.packing import pack_documents
 from lakestrata.llm.sharding import shard_rows
 from lakestrata.llm.token_counts import token_counts
@@ -22,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(
         table(spark, sf_dir, "documents"),
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op2_near_dup,
         op4_byte_bpe,
         op5_topk,
         op6_sharding,
