@@ -6,9 +6,12 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_BYTES = 2 << 20
+#: Labels are broadcast up to so many rows (some 30 MB).
+BROADCAST_LABELS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,3 +112,26 @@ class WordIds:
             for i, ids in zip(whole, self.encode(list(whole.values())), strict=True):
                 out[i] = ids
         return out
+
+
+def learning_labels(documents: DataFrame, labels: DataFrame, label: str, held_out: Column) -> DataFrame:
+    """text, doc_id and label (0 or 1) of the labelled documents that are not held out.
+
+    One label an id: the larger one, if they differ. Labels of up to
+    `BROADCAST_LABELS` rows, counted first, are sent to the documents; beyond
+    that both sides are shuffled.
+    """
+    known = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+    )
+    if labels.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
+    return documents.where(~held_out).join(known, "doc_id").select("doc_id", "text", "label")
+
+
+def remainder(doc_id: Column, modulus: int) -> Column:
+    """crc32 of the id as text, modulo `modulus`; null ids have none."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % modulus
