@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts_of(batch: pa.RecordBatch, text_col: str) -> Iterator[str]:
+    """The texts of a batch, from its column `text` or from the carried `row`; null texts are empty."""
+    carried = batch.column("row").field(text_col) if "row" in batch.schema.names else batch.column("text")
+    return (text.as_py() or "" for text in carried)
+
+
 def by_bytes(texts: list[str], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of texts of about `most` characters each; a longer text stands alone."""
     start = held = 0
@@ -129,7 +136,7 @@ def learning_labels(documents: DataFrame, labels: DataFrame, label: str, held_ou
     )
     if labels.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
-    return documents.where(~held_out).join(known, "doc_id").select("doc_id", "text", "label")
+    return documents.where(~F.coalesce(held_out, F.lit(True))).join(known, "doc_id").select("doc_id", "text", "label")
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

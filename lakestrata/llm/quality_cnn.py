@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import by_bytes, learning_labels, remainder
+from lakestrata.llm.common import by_bytes, learning_labels, remainder, texts_of
 
 #: The network is fitted to about so many labelled rows, of texts up to so many bytes.
 FIT_ROWS, FIT_BYTES = 3000, 1 << 14
@@ -197,14 +197,16 @@ def score_quality(
     the struct `row`.
     """
     doc_id = F.col(quoted(id_col))
-    carried = [F.struct(*(F.col(quoted(c)) for c in documents.columns)).alias("row")] if carry else []
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    row = F.struct(*(F.col(quoted(c)) for c in documents.columns))
     source = documents.select(
         doc_id.alias("doc_id"),
-        F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"),
         F.coalesce(remainder(doc_id, 4) == 2, F.lit(True)).alias("held_out"),
-        *carried,
+        row.alias("row") if carry else text.alias("text"),
+    )
+    learning = learning_labels(
+        documents.select(doc_id.alias("doc_id"), text.alias("text")), labels, "quality", remainder(F.col("doc_id"), 4) == 2
     )
-    learning = learning_labels(source.select("doc_id", "text", "held_out"), labels, "quality", F.col("held_out"))
     network = learn_quality(learning, labels.count())
     only = None
     if network is None:
@@ -216,15 +218,15 @@ def score_quality(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = [t.encode() for t in texts_of(batch, text_col)]
             scores = known.value.scores(texts) if only is None else np.full(len(texts), only)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    batch.column(2),
+                    batch.column(1),
                     pa.array(scores, pa.float64()),
                     pa.array((scores >= threshold).astype(np.int32)),
-                    *batch.columns[3:],
+                    *([batch.column(2)] if carry else []),
                 ],
                 names,
             )

@@ -12,10 +12,12 @@ from lakestrata.llm.common import table
 from lakestrata.llm.exact_dedup import duplicate_groups
 from lakestrata.llm.near_dup import near_duplicates
 from lakestrata.llm.packing import pack_documents
+from lakestrata.llm.quality_cnn import score_quality
 from lakestrata.llm.sharding import shard_rows
 from lakestrata.llm.token_counts import token_counts
 from lakestrata.llm.token_files import read_token_files, write_token_files
 from lakestrata.llm.topk import top_k
+from lakestrata.llm.toxicity import score_toxicity
 from lakestrata.session import work_folder
 
 
@@ -27,6 +29,10 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(
         table(spark, sf_dir, "documents"),
@@ -59,17 +65,23 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts,
         op2_near_dup,
+        op3_toxicity,
         op4_byte_bpe,
         op5_topk,
         op6_sharding,
         op7_token_files,
         op8_packing,
         op9_exact_dedup,
+        op10_quality,
     )
 }
 

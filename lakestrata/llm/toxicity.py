@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import learning_labels, remainder
+from lakestrata.llm.common import learning_labels, remainder, texts_of
 from lakestrata.llm.shingles import mix, word_hashes
 
 #: Words are hashed to so many cells, which bounds the size of the model (three counts a cell).
 CELL_BITS = 22
-#: Words of one passage.
-PASSAGE = 16
+#: Words of one passage: an expression and what stands beside it.
+PASSAGE = 3
+#: What each class's counts lose to the shared backoff.
+DISCOUNT = 3.0
 #: Labelled rows, about, that the last step is fitted to.
 FIT_ROWS = 20_000
 _CONTEXT_BITS = 40
@@ -43,10 +45,10 @@ class KneserNey:
 
     The probability of a word in a class is its discounted share of the class's
     counts plus the mass set free times its probability in all texts, which is
-    discounted in the same way against a uniform one. Counts of one are set free
-    in full, so what a class has seen once is left to the counts that the classes
-    share; larger ones lose the modified Kneser-Ney discounts for two and for
-    three or more.
+    discounted in the same way against a uniform one. The discount of a class is
+    large enough that a word which it has seen a few times only by chance is left
+    to the counts that the classes share: both then differ by a constant, the
+    ratio of the masses, and more only where a class has real evidence.
     """
 
     toxic: np.ndarray
@@ -54,25 +56,22 @@ class KneserNey:
     shared: np.ndarray
 
     def __post_init__(self) -> None:
-        self.laws = [self._law(c) for c in (self.toxic, self.ordinary, self.shared)]
+        found = [int((self.shared == i).sum()) for i in (1, 2)]
+        one = found[0] / max(1, found[0] + 2 * found[1])  # the Kneser-Ney estimate
+        self.laws = [self._law(self.toxic, DISCOUNT), self._law(self.ordinary, DISCOUNT), self._law(self.shared, one)]
 
     @staticmethod
-    def _law(counts: np.ndarray) -> tuple[float, float, float, float]:
-        """Sum of the counts, discounts of two and of three or more, mass set free."""
-        n1, n2, n3, n4 = (int((counts == i).sum()) for i in range(1, 5))
-        y = n1 / max(1, n1 + 2 * n2)
-        two = min(2.0, max(0.1, 2 - 3 * y * n3 / n2)) if n2 else 1.0
-        more = min(3.0, max(0.1, 3 - 4 * y * n4 / n3)) if n3 else two
+    def _law(counts: np.ndarray, discount: float) -> tuple[float, float, float]:
+        """Sum of the counts, discount, share of the mass set free."""
         total = float(counts.sum())
-        free = n1 + two * n2 + more * float((counts > 2).sum())
-        return total, two, more, free / total if total else 1.0
+        return total, discount, float(np.minimum(counts, discount).sum()) / total if total else 1.0
 
-    def _share(self, counts: np.ndarray, law: tuple[float, float, float, float], lower: np.ndarray) -> np.ndarray:
-        total, two, more, free = law
-        off = np.select([counts <= 1, counts == 2], [counts, two], more)
-        return (counts - off) / max(total, 1.0) + max(free, 1e-6) * lower
+    @staticmethod
+    def _share(counts: np.ndarray, law: tuple[float, float, float], lower: np.ndarray | float) -> np.ndarray:
+        total, discount, free = law
+        return np.maximum(counts - discount, 0) / max(total, 1.0) + max(free, 1e-6) * lower
 
-    def log_ratio(self, toxic: np.ndarray, ordinary: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def log_shares(self, toxic: np.ndarray, ordinary: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-probabilities of words with these counts in a toxic and in an ordinary text."""
         base = self._share(shared, self.laws[2], 1.0 / (1 << CELL_BITS))
         return tuple(
@@ -80,7 +79,7 @@ class KneserNey:
         )
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        a, b = self.log_ratio(self.toxic, self.ordinary, self.shared)
+        a, b = self.log_shares(self.toxic, self.ordinary, self.shared)
         return a.astype(np.float32), b.astype(np.float32)
 
     def without(self, cells: np.ndarray, pairs: np.ndarray, toxic: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +90,7 @@ class KneserNey:
         counts = [self.toxic[cells], self.ordinary[cells], self.shared[cells]]
         counts[0 if toxic else 1] = np.maximum(counts[0 if toxic else 1] - own, 0)
         counts[2] = np.maximum(counts[2] - own, 0)
-        return self.log_ratio(*counts)
+        return self.log_shares(*counts)
 
 
 def features(toxic: np.ndarray, ordinary: np.ndarray) -> list[float]:
@@ -171,7 +170,8 @@ def learn_counts(learning: DataFrame) -> KneserNey:
     return KneserNey(**counts)
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: The model a worker used last, and its tables.
+_last: list = [None, None]
 
 
 def score_toxicity(
@@ -194,14 +194,16 @@ def score_toxicity(
     """
     spark = documents.sparkSession
     doc_id = F.col(quoted(id_col))
-    carried = [F.struct(*(F.col(quoted(c)) for c in documents.columns)).alias("row")] if carry else []
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    row = F.struct(*(F.col(quoted(c)) for c in documents.columns))
     source = documents.select(
         doc_id.alias("doc_id"),
-        F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"),
         F.coalesce(remainder(doc_id, 5) == 0, F.lit(True)).alias("held_out"),
-        *carried,
+        row.alias("row") if carry else text.alias("text"),
+    )
+    learning = learning_labels(
+        documents.select(doc_id.alias("doc_id"), text.alias("text")), labels, "toxic", remainder(F.col("doc_id"), 5) == 0
     )
-    learning = learning_labels(source.select("doc_id", "text", "held_out"), labels, "toxic", F.col("held_out"))
     model = learn_counts(learning)
     weights = None
     if model.toxic.any() and model.ordinary.any():
@@ -213,17 +215,16 @@ def score_toxicity(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = None
         if weights is not None:
-            if id(known.value) not in _tables:
-                _tables.clear()
-                _tables[id(known.value)] = known.value.tables()
-            tables = _tables[id(known.value)]
+            if _last[0] is not known.value:
+                _last[:] = known.value, known.value.tables()
+            tables = _last[1]
         for batch in batches:
             rows = []
-            for text in batch.column(1):
+            for text in texts_of(batch, text_col):
                 if tables is None:
                     rows.append((0.0, 0.0, 0.0))
                     continue
-                cells = _cells(word_hashes(text.as_py()))
+                cells = _cells(word_hashes(text))
                 a, b = tables[0][cells], tables[1][cells]
                 z = weights[:-1] @ features(a, b) + weights[-1]
                 n = max(1, len(cells))
@@ -232,12 +233,12 @@ def score_toxicity(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    batch.column(2),
+                    batch.column(1),
                     pa.array(scores),
                     pa.array((scores >= 0.5).astype(np.int32)),
                     pa.array(toxic),
                     pa.array(ordinary),
-                    *batch.columns[3:],
+                    *([batch.column(2)] if carry else []),
                 ],
                 [*names],
             )
