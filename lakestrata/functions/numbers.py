@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.functions.text import quoted
+
 # A number has a digit or is a spelling of infinity or NaN.
 _MAYBE_NUMBER = "[0-9]|[iI][nN][fF]|[nN][aA][nN]"
 
@@ -19,9 +21,9 @@ def to_double(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """
 
     def cast(name: str) -> Column:
-        number = F.col(name).try_cast("double")
+        number = F.col(quoted(name)).try_cast("double")
         if isinstance(df.schema[name].dataType, T.StringType):
-            return F.when(F.col(name).rlike(_MAYBE_NUMBER), number)
+            return F.when(F.col(quoted(name)).rlike(_MAYBE_NUMBER), number)
         return number
 
     return df.withColumns({c: cast(c) for c in columns})

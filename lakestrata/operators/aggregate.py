@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.numbers import format_measure, to_double
+from lakestrata.functions.text import quoted
 
 _AGGREGATES = {"avg": F.avg, "sum": F.sum}
 
@@ -33,7 +34,7 @@ def aggregate(
         raise ValueError(f"unknown aggregates {unknown}; known are {sorted(_AGGREGATES)}")
     results = []
     for column, kind in measures.items():
-        value = _AGGREGATES[kind](column)
+        value = _AGGREGATES[kind](quoted(column))
         results.append((format_measure(value) if formatted else value).alias(f"{kind}_{column}"))
     keys = [key] if isinstance(key, str) else list(key)
-    return to_double(df, measures).groupBy(*keys).agg(*results)
+    return to_double(df, measures).groupBy(*map(quoted, keys)).agg(*results)

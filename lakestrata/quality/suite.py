@@ -34,9 +34,9 @@ def suite_name(table: str) -> str:
 def key_violations(df: DataFrame, key: str) -> DataFrame:
     """Values that break a primary key: null, or held by more than one row."""
     return (
-        df.groupBy(key)
+        df.groupBy(quoted(key))
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .where((F.col("n_rows") > 1) | F.col(key).isNull())
+        .where((F.col("n_rows") > 1) | F.col(quoted(key)).isNull())
     )
 
 

@@ -48,7 +48,7 @@ def join_entities_plain(spark, sf_dir):
 
 
 def join_entities_spread(spark, sf_dir):
-    """An aggregate and a table that repeats keys, with the thresholds low enough to spread all."""
+    """An aggregate and a table that repeats keys, with a share low enough to spread all."""
     parts = aggregate(
         t.table(spark, sf_dir, "lineitem"), "l_suppkey", {"l_quantity": "sum"}, formatted=False
     )
@@ -60,10 +60,20 @@ def join_entities_spread(spark, sf_dir):
         "c_nationkey",
         spread_hot_keys=True,
         hot_share=0.005,
-        hot_min_rows=10,
     )
 
 
+def join_entities_hot(spark, sf_dir):
+    """A third of the rows under one key, spread by the default share."""
+    sums = aggregate(
+        t.table(spark, sf_dir, "lineitem"), "l_suppkey", {"l_quantity": "sum"}, formatted=False
+    )
+    orders = t.table(spark, sf_dir, "orders").selectExpr(
+        "if(o_orderkey % 3 = 0, 1, o_custkey) as bank", "o_orderkey"
+    )
+    return join_entities(sums, orders, "l_suppkey", "bank", spread_hot_keys=True)
+
+
 def deliver_rows(spark, sf_dir):
     """The seven-column delivery table, loaded by position."""
     return deliver_positional(final_table(spark, sf_dir))
@@ -89,6 +99,7 @@ QUERIES = {
     "group_agg_numeric": group_agg_numeric,
     "join_entities_plain": join_entities_plain,
     "join_entities_spread": join_entities_spread,
+    "join_entities_hot": join_entities_hot,
     "deliver_positional": deliver_rows,
     "normalize_columns": headers,
 }
@@ -112,6 +123,11 @@ join (select user_id, avg(event_id) as avg_event_id from events group by 1)
 select l_suppkey, sum_l_quantity, c_custkey, c_nationkey
 from (select l_suppkey, sum(l_quantity) as sum_l_quantity from lineitem group by 1)
 join customer on l_suppkey = c_nationkey""",
+    "join_entities_hot": """
+select l_suppkey, sum_l_quantity, bank, o_orderkey
+from (select l_suppkey, sum(l_quantity) as sum_l_quantity from lineitem group by 1)
+join (select case when o_orderkey % 3 = 0 then 1 else o_custkey end as bank, o_orderkey from orders)
+  on l_suppkey = bank""",
     "deliver_positional": f"""
 select instituicao_financeira as nome_banco,
        sum_quantidade_total_de_reclamacoes as quantidade_reclamacoes,

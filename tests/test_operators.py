@@ -51,7 +51,7 @@ def _entities_and_banks(spark):
 def test_join_fans_out_and_ignores_nulls(spark, rows, spread):
     entities, banks = _entities_and_banks(spark)
     joined = join_entities(
-        entities, banks, "name", "nome", spread_hot_keys=spread, hot_share=0.1, hot_min_rows=1
+        entities, banks, "name", "nome", spread_hot_keys=spread, hot_share=0.1
     )
     assert joined.columns == ["name", "m", "nome", "cnpj"]
     assert rows(joined.drop("nome")) == [("a", "1.00", 1), ("a", "1.00", 2), ("b", "2.00", 3)]
@@ -75,7 +75,7 @@ def test_spread_join_of_tables_with_awkward_column_names(spark, rows):
     entities = spark.createDataFrame([("a", 1)], "k string, copies int")
     other = spark.createDataFrame([("a", 2, 3), ("a", 2, 3)], "k string, hot_key int, n int")
     joined = join_entities(
-        entities, other, "k", "k", spread_hot_keys=True, hot_share=0.1, hot_min_rows=1
+        entities, other, "k", "k", spread_hot_keys=True, hot_share=0.1
     )
     assert joined.columns == ["k", "copies", "k", "hot_key", "n"]
     assert rows(joined) == [("a", 1, "a", 2, 3)] * 2
@@ -85,8 +85,35 @@ def test_hot_keys_are_bounded_by_the_share(spark, rows):
     df = spark.range(9000).select(
         F.when(F.col("id") < 3000, -1).otherwise(F.col("id")).alias("k")
     )
-    assert rows(hot_keys(df, "k", share=0.01, min_rows=10)) == [(-1, 34)]
-    assert rows(hot_keys(df, "k", share=0.01, min_rows=5000)) == []
+    assert rows(hot_keys(df, "k", share=0.01)) == [(-1, 34)]
+    assert rows(hot_keys(df, "k", share=0.5)) == []
+
+
+def test_hot_share_follows_the_shuffle_partitions(spark, rows, with_conf):
+    df = spark.range(9000).select(F.when(F.col("id") < 900, -1).otherwise(F.col("id")).alias("k"))
+    with_conf(spark__sql__shuffle__partitions="4")
+    assert rows(hot_keys(df, "k")) == []
+    with_conf(spark__sql__shuffle__partitions="50")
+    assert rows(hot_keys(df, "k")) == [(-1, 10)]
+
+
+@pytest.mark.parametrize("share", [1e-8, 0, 2])
+def test_a_hot_share_that_bounds_nothing_is_refused(spark, share):
+    with pytest.raises(ValueError, match="hot share"):
+        hot_keys(spark.range(3), "id", share)
+
+
+def test_a_hot_key_that_lies_in_one_partition_is_joined_by_many_tasks(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false",
+              spark__sql__shuffle__partitions="16")
+    other = spark.range(0, 20_000, 1, 4).selectExpr("if(id % 2 = 0, 'hot', concat('k', id)) as `a.key`", "id as v")
+    entities = spark.createDataFrame([("hot", 1)], "`a.name` string, m int")
+    joined = join_entities(
+        entities, other.repartition(8, F.col("`a.key`")), "a.name", "a.key", spread_hot_keys=True, hot_share=0.05
+    )
+    tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 10_000
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 5000
 
 
 def test_a_hot_key_of_identical_rows_is_joined_by_many_tasks(spark, with_conf):
@@ -104,7 +131,7 @@ def test_a_hot_key_of_identical_rows_is_joined_by_many_tasks(spark, with_conf):
 
     def join(spread):
         return join_entities(
-            entities, banks, "name", "nome", spread_hot_keys=spread, hot_share=0.05, hot_min_rows=100
+            entities, banks, "name", "nome", spread_hot_keys=spread, hot_share=0.05
         )
 
     def summary(df):
@@ -138,7 +165,7 @@ def test_spread_join_is_whole_when_tasks_run_again(spark, with_conf):
     flaky = banks.mapInPandas(fail_once, banks.schema)
     entities = banks.select(F.col("nome").alias("name")).distinct()
     joined = join_entities(
-        entities, flaky, "name", "nome", spread_hot_keys=True, hot_share=0.05, hot_min_rows=100
+        entities, flaky, "name", "nome", spread_hot_keys=True, hot_share=0.05
     )
     assert sorted(r.v for r in joined.select("v").collect()) == list(range(9000))
 
@@ -184,3 +211,12 @@ def test_union_by_name(spark, rows):
     a = spark.createDataFrame([(1, "p")], "id int, a string")
     b = spark.createDataFrame([(2.5, 2)], "v double, id int")
     assert rows(union_by_name(a, b)) == [(1, "p", None), (2, None, 2.5)]
+
+
+def test_headers_with_dots(spark, rows):
+    df = spark.createDataFrame([("a", "1.5"), ("a", "x"), (None, "2")], "`No. me` string, `Vl. total` string")
+    sums = aggregate(df, "No. me", {"Vl. total": "sum"}, formatted=False)
+    assert sums.columns == ["No. me", "sum_Vl. total"]
+    assert rows(sums) == [("a", 1.5), (None, 2.0)]
+    out = conform(df, {"No. me": "na.me", "Vl. total": "v"}, defaults={"na.me": "?"}, require_not_null=["v"])
+    assert rows(out.select("`na.me`")) == [("?",), ("a",), ("a",)]
