@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakestrata.functions.text import quoted
 from lakestrata.operators.unify import union_by_name
 from lakestrata.sources.files import list_files
 
+_PARTITION = r"^(.*?)/[^/=]+=[^/]*/"
+
 
 def concat_by_name(
     spark: SparkSession,
@@ -21,35 +25,65 @@ def concat_by_name(
     glob: str = "*",
     keep: Callable[[Column], Column] | None = None,
     provenance: str | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """All rows of all parquet files below `paths`, columns matched by name.
 
-    A column a file lacks is null. If files disagree on a column's type, files
-    of one schema are read together and the parts are united, which widens the
-    type (bigint and double give double). `keep` is a condition on the file
-    name; `provenance` names a column that is to hold the file name.
+    A column a file lacks is null. Folders named `column=value` give that column,
+    and filters on it skip folders; all other folders are read at any depth. If
+    files disagree on a column's type, files of one schema are read together and
+    the parts are united, which widens the type (bigint and double give double).
+    `keep` is a condition on the file name; `provenance` names a column that is to
+    hold the file name. `schema` gives the columns of the result, partition
+    columns among them, and saves reading any footer.
     """
+    files = list_files(spark, list(paths), glob)
+    partitioned = files.select(F.regexp_extract("file_path", _PARTITION, 1).alias("base")).distinct()
+    # The tops of partitioned datasets, one for a whole layer; "" stands for files outside of any.
+    bases = sorted(r.base for r in partitioned.collect())
+    if len([b for b in bases if b]) == 0:
+        return _merged(spark, list(paths), glob, keep, provenance, schema, base=None)
+    parts = [_merged(spark, [b], glob, keep, provenance, schema, base=b) for b in bases if b]
+    if "" in bases:
+        flat = [r.folder for r in _flat_folders(files).collect()]
+        parts.append(_merged(spark, flat, glob, keep, provenance, schema, base=None, deep=False))
+    return union_by_name(*parts)
+
+
+def _flat_folders(files: DataFrame) -> DataFrame:
+    outside = files.where(F.regexp_extract("file_path", _PARTITION, 1) == "")
+    return outside.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("folder")).distinct()
+
+
+def _merged(spark, paths, glob, keep, provenance, schema, base, deep=True) -> DataFrame:
     try:
-        return _read(spark, list(paths), glob, keep, provenance)
+        return _read(spark, paths, glob, keep, provenance, schema, base, deep)
     except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+        if not _cannot_merge(error):
             raise
-    parts = [
-        _read(spark, files, "*", None, provenance)
-        for files in _files_by_schema(spark, list(paths), glob, keep)
-    ]
+    groups = _files_by_schema(spark, list_files(spark, paths, glob), keep)
+    parts = [_read(spark, files, "*", None, provenance, found, base, False) for found, files in groups]
     return union_by_name(*parts)
 
 
-def _read(spark, paths, glob, keep, provenance) -> DataFrame:
-    df = (
-        spark.read.option("mergeSchema", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .parquet(*paths)
-    )
+def _cannot_merge(error: Exception) -> bool:
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return "CANNOT_MERGE_SCHEMAS" in (condition or str(error))
+
+
+def _read(spark, paths, glob, keep, provenance, schema, base, deep) -> DataFrame:
+    reader = spark.read.option("pathGlobFilter", glob)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    elif deep:
+        reader = reader.option("recursiveFileLookup", True)
+    if schema is None:
+        reader = reader.option("mergeSchema", True)
+    else:
+        reader = reader.schema(schema)
+    df = reader.parquet(*paths)
     name = _decoded(F.col("_metadata.file_name"))
-    columns = df.columns
+    columns = [quoted(c) for c in df.columns]
     if keep is not None:
         df = df.where(keep(name))
     if provenance is not None:
@@ -63,38 +97,22 @@ def _decoded(name: Column) -> Column:
     return F.when(name.contains("%"), F.url_decode(protected)).otherwise(name)
 
 
-def _files_by_schema(spark, paths, glob, keep) -> list[list[str]]:
-    """File paths grouped by the schema in their footers.
+def _files_by_schema(
+    spark: SparkSession, files: DataFrame, keep: Callable[[Column], Column] | None
+) -> list[tuple[T.StructType, list[str]]]:
+    """The different schemas and the files of each; only reached when types conflict.
 
-    Executors read the footers. Only names reach the driver, which holds the
-    listing of every file it scans in any case.
+    Spark opens one footer a file, through its own file systems. The driver holds
+    the paths, as it does for any scan of them.
     """
-    files = list_files(spark, paths, glob)
     if keep is not None:
         files = files.where(keep(F.col("file_name")))
-
-    # Defined here so that it travels with the job, not by an import on the executors.
-    def footer_fields(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import quote
-
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            fields = []
-            for path in batch["file_path"]:
-                uri = path.replace("s3a://", "s3://", 1)
-                if uri.startswith("file:"):
-                    system, inner = fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
-                else:
-                    system, inner = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
-                with system.open_input_file(inner) as handle:
-                    schema = pq.read_schema(handle)
-                fields.append("\n".join(f"{f.name}: {f.type}" for f in schema))
-            yield batch.assign(fields=fields)
-
-    footers = files.select("file_path").mapInPandas(footer_fields, "file_path string, fields string")
-    groups = defaultdict(list)
-    for row in footers.toLocalIterator():
-        groups[row.fields].append(row.file_path)
-    return [sorted(groups[fields]) for fields in sorted(groups)]
+    paths = [r.file_path for r in files.select("file_path").toLocalIterator()]
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
+    groups: dict[str, list[str]] = defaultdict(list)
+    kinds = {}
+    for path, found in zip(paths, schemas, strict=True):
+        kinds[found.json()] = found
+        groups[found.json()].append(path)
+    return [(kinds[k], sorted(groups[k])) for k in sorted(groups)]

@@ -43,5 +43,8 @@ def read_layer(
 
 
 def preview(spark: SparkSession, path: str, lines: int = 20) -> DataFrame:
-    """The first lines of a utf-8 text file as one column `value`; reads little more than these."""
+    """The first lines of one utf-8 text file as one column `value`; reads little more than these.
+
+    Of a folder of several files they are those of whichever file Spark reads first.
+    """
     return spark.read.text(path).limit(lines)

@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.sources.concat import concat_by_name
 from lakestrata.sources.files import list_files
@@ -38,30 +39,34 @@ def read_route(
     prefix: str,
     years: tuple[int, int] | None = None,
     provenance: str | None = None,
+    schema: T.StructType | str | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """The parquet files below `path` that belong to a route, concatenated by name.
 
     A glob picks them while listing. Where names have something between prefix
     and year, the glob is wider and a test of the name drops the other files
     before they are opened; Spark repeats that test on each row, so it is added
-    only then.
+    only then. `files`, a `list_files` table of the path, saves a listing, and
+    `schema` reading footers.
     """
+    options = {"provenance": provenance, "schema": schema}
     if years is None:
-        return concat_by_name(spark, path, glob=f"{prefix}*", provenance=provenance)
+        return concat_by_name(spark, path, glob=f"{prefix}*", **options)
     wanted = "{" + ",".join(str(year) for year in range(years[0], years[1] + 1)) + "}"
     if _year_follows(prefix, years):
         direct = reduce(
             or_, [F.col("file_name").startswith(f"{prefix}{y}") for y in range(years[0], years[1] + 1)]
         )
-        named = route_by_filename(list_files(spark, path, f"{prefix}*"), "file_name", prefix, years)
-        if named.where(~direct).isEmpty():
-            return concat_by_name(spark, path, glob=f"{prefix}{wanted}*", provenance=provenance)
+        listed = list_files(spark, path, f"{prefix}*") if files is None else files
+        if route_by_filename(listed, "file_name", prefix, years).where(~direct).isEmpty():
+            return concat_by_name(spark, path, glob=f"{prefix}{wanted}*", **options)
     return concat_by_name(
         spark,
         path,
         glob=f"{prefix}*{wanted}*",
         keep=lambda name: _belongs(name, prefix, years),
-        provenance=provenance,
+        **options,
     )
 
 

@@ -208,3 +208,32 @@ def test_paths_with_spaces_and_marks(spark, tmp_path, rows):
     assert rows(list_files(spark, str(root)).select("file_name")) == [(w[2],) for w in wanted]
     one = land_recursive(spark, str(root / "a b"))
     assert rows(one) == [(1, 1, "x é 1.parquet")]
+
+
+def test_partition_columns_survive_concatenation_and_landing(spark, tmp_path, rows):
+    df = spark.range(6).selectExpr("id", "id % 3 as part")
+    df.write.partitionBy("part").parquet(f"{tmp_path}/deep/layer")
+    spark.range(10, 12).write.parquet(f"{tmp_path}/flat/a")
+    wanted = [(i, i % 3) for i in range(6)]
+    layer = concat_by_name(spark, f"{tmp_path}/deep/layer")
+    assert rows(layer.select("id", "part")) == wanted
+    assert rows(land_recursive(spark, f"{tmp_path}/deep").select("id", "part")) == wanted
+    both = concat_by_name(spark, str(tmp_path))
+    assert rows(both.select("id", "part")) == sorted([*wanted, (10, None), (11, None)], key=repr)
+    chosen = layer.where("part = 1")
+    assert "part" in chosen._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1][:60]
+
+
+def test_a_given_schema_replaces_the_footers(spark, tmp_path, rows):
+    spark.range(2).write.parquet(f"{tmp_path}/a")
+    df = concat_by_name(spark, str(tmp_path), schema="id bigint, more string")
+    assert df.columns == ["id", "more"] and rows(df) == [(0, None), (1, None)]
+    landed = land_recursive(spark, str(tmp_path), schema="id bigint")
+    assert landed.columns == ["id", "source_file"] and landed.count() == 2
+
+
+def test_types_that_differ_in_a_partitioned_layer(spark, tmp_path, rows):
+    spark.range(2).write.parquet(f"{tmp_path}/d=1")
+    spark.range(2, 4).selectExpr("cast(id as double) id").write.parquet(f"{tmp_path}/d=2")
+    df = concat_by_name(spark, str(tmp_path))
+    assert rows(df.select("id", "d")) == [(0.0, 1), (1.0, 1), (2.0, 2), (3.0, 2)]
