@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,12 +33,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder, readable by every executor, for data a job hands to its next step.
 
     The cluster names the shared root in `spark.checkpoint.dir`. Only a local
-    session, whose executors live in this process, may fall back to a temporary
-    folder of this machine.
+    session, whose executors live in this process, may do without: the folder
+    then lies in its warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="lakestrata-")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.functions.text import quoted
+
 # Columns of the delivery table, in order, and its key.
 DELIVERY_SCHEMA = T.StructType(
     [
@@ -26,7 +28,7 @@ def deliver_positional(
 ) -> DataFrame:
     """Give the columns of `df`, by position, the names and types of `schema`.
 
-    Nulls stay nulls; `nulls_as_empty=True` makes them empty strings in string
+    Text that the target type cannot hold becomes null. Nulls stay nulls; `nulls_as_empty=True` makes them empty strings in string
     columns, as a load from delimited text would.
     """
     if len(df.columns) != len(schema.fields):
@@ -35,7 +37,7 @@ def deliver_positional(
         )
     columns = []
     for name, field in zip(df.columns, schema.fields):
-        value = F.col(name).cast(field.dataType)
+        value = F.col(quoted(name)).try_cast(field.dataType)
         if nulls_as_empty and isinstance(field.dataType, T.StringType):
             value = F.coalesce(value, F.lit(""))
         columns.append(value.alias(field.name))

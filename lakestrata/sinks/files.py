@@ -7,19 +7,21 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.functions.text import quoted
+
 
 def cluster_for_write(df: DataFrame, partition_by: str) -> DataFrame:
     """Shuffle rows so that each partition value is written by few tasks.
 
-    With adaptive execution a rebalance does it: small values are packed
-    together, and a value that holds a large share of the rows is split at the
-    advisory partition size. Without it every value is spread by the id of the
-    input task, so that no task gets a whole hot value.
+    A rebalance does it: adaptive execution packs small values together, and
+    splits a value that holds a large share of the rows at the advisory partition
+    size. Without adaptive execution each value is written by one task, which
+    makes few files but does not split a hot value: keep it on.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", F.col(partition_by))
-    return df.repartition(F.col(partition_by), F.spark_partition_id())
+    column = F.col(quoted(partition_by))
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", column)
+    return df.repartition(column)
 
 
 def write_layer(

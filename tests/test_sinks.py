@@ -135,3 +135,16 @@ def test_delivery_ddl():
     assert drop == "drop table if exists delivery" and rest == ""
     assert create.startswith("create table delivery (\n    nome_banco varchar,\n")
     assert create.count(" varchar,") == 7 and create.endswith("cnpj varchar,\n    primary key (cnpj)\n)")
+
+
+def test_few_files_a_date_without_adaptive_execution(spark, tmp_path, with_conf):
+    with_conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16")
+    df = spark.range(0, 7000, 1, 12).selectExpr("id", "date_add(date'2024-01-01', cast(id % 7 as int)) as d")
+    write_layer(df, str(tmp_path / "layer"), partition_by="d")
+    assert len(spark.read.parquet(str(tmp_path / "layer")).inputFiles()) == 7
+
+
+def test_delivery_reads_text_as_the_target_type_or_null(spark, rows):
+    schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.StringType())])
+    df = spark.createDataFrame([("1.5", "x"), ("n/d", "y")], "`v.1` string, `v.2` string")
+    assert rows(deliver_positional(df, schema)) == [(1.5, "x"), (None, "y")]
