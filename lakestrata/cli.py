@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--entity-column")
     clean.add_argument("--schema", help="DDL of the raw columns; inferred if left out")
     clean.add_argument("--no-infer", action="store_true", help="keep every column as text")
+    clean.add_argument("--legacy-upper-o", action="store_true", help="fold an accented o to O in headers")
     clean.add_argument("--on-failure", choices=["record", "raise"], default="record")
 
     table = jobs.add_parser("delivery-table", help="aggregate and join the cleaned sources")
@@ -43,6 +44,10 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--target", required=True)
     silver.add_argument("--from-raw", action="store_true", help="the source is not routed yet")
 
+    silver.add_argument("--clustered", action="store_true", help="write without a shuffle")
+    silver.add_argument("--years", type=int, nargs=2, metavar=("FIRST", "LAST"), help="of raw files")
+    silver.add_argument("--schema", help="DDL of the source columns; read from the files if left out")
+
     gold = jobs.add_parser("gold", help="unite the silver trips")
     for name in ("--yellow", "--green", "--target"):
         gold.add_argument(name, required=True)
@@ -57,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
         load.add_argument("--table", required=True)
         load.add_argument("--properties", required=True, help="JSON file: user, password, driver")
         load.add_argument("--connections", type=int)
+        load.add_argument("--truncate", action="store_true", help="keep a replaced table's definition and key")
         if name == "deliver":
             load.add_argument("--variant", choices=["append", "replace"], default="append")
     return parser
@@ -84,6 +90,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             schema=args.schema,
             infer=not args.no_infer,
             on_failure=args.on_failure,
+            legacy_upper_o=args.legacy_upper_o,
         )
     elif args.job == "delivery-table":
         plans.delivery_table_job(spark, args.complaints, args.employees, args.banks, args.target)
@@ -91,16 +98,20 @@ def main(arguments: Sequence[str] | None = None) -> None:
         chosen = (plans.ROUTES, None) if args.all_categories else (plans.SILVER_ROUTES, plans.SILVER_YEARS)
         plans.route_job(spark, args.source, args.target, *chosen)
     elif args.job == "silver":
-        plans.silver_job(spark, args.colour, args.source, args.target, from_raw=args.from_raw)
+        plans.silver_job(
+            spark, args.colour, args.source, args.target, from_raw=args.from_raw,
+            clustered=args.clustered, schema=args.schema,
+            years=plans.SILVER_YEARS if args.years is None else tuple(args.years),
+        )
     elif args.job == "gold":
         plans.gold_job(spark, {"yellow": args.yellow, "green": args.green}, args.target)
     elif args.job == "export-jdbc":
         plans.export_jdbc_job(
             spark, args.source, args.url, args.table, _properties(args.properties),
-            connections=args.connections,
+            connections=args.connections, truncate=args.truncate,
         )
     else:
         plans.deliver_job(
             spark, args.source, args.url, args.table, _properties(args.properties),
-            variant=args.variant, connections=args.connections,
+            variant=args.variant, connections=args.connections, truncate=args.truncate,
         )

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions import clean_entity_name, normalize_columns, normalize_values
-from lakestrata.operators import aggregate, join_entities
+from lakestrata.functions.naming import normalize_name
+from lakestrata.operators import aggregate, join_entities, union_by_name
 from lakestrata.plans.paths import require_apart
 from lakestrata.quality import (
     DataQualityError,
@@ -49,6 +50,9 @@ SUITES = {
 }
 OTHER_SUITE = [expect_type("quantidade_total_de_clientes__ccs_e_scr", "int")]
 
+#: Columns that identify a row; kept as text, so that leading zeros stay.
+KEY_COLUMNS = ("cnpj",)
+
 # The measures of the delivery table.
 COMPLAINT_MEASURES = {
     "quantidade_total_de_reclamacoes": "sum",
@@ -81,16 +85,19 @@ def clean_source_job(
     entity_column: str | None = None,
     schema: T.StructType | str | None = None,
     infer: bool = True,
+    text_columns: Sequence[str] = KEY_COLUMNS,
     suite: Sequence[Expectation] | None = None,
     on_failure: str = "record",
     legacy_upper_o: bool = False,
 ) -> DataFrame:
     """Clean one delimited source into `target` and file its quality report.
 
-    With `on_failure="record"` the checks ride on the write, so the source is
-    read once (twice if its types are inferred), and data is written whatever
-    they find. With "raise" they run first, and a failure leaves `target` as it
-    was. Returns the report.
+    With `on_failure="record"` row checks ride on the write and key checks read
+    the written layer, so the source is read once (twice if its types are
+    inferred), and data is written whatever they find. With "raise" they run
+    first, and a failure leaves `target` as it was. `text_columns` (normalised
+    names) stay text where types are inferred, so that a key keeps its leading
+    zeros. Returns the report.
     """
     if on_failure not in ("record", "raise"):
         raise ValueError('on_failure is "record" or "raise"')
@@ -106,24 +113,37 @@ def clean_source_job(
         schema=schema,
         infer=infer,
     )
+    kept_text = [f.name for f in raw.schema if normalize_name(f.name, legacy_upper_o) in text_columns]
+    if schema is None and infer and any(raw.schema[c].dataType != T.StringType() for c in kept_text):
+        fields = [T.StructField(f.name, T.StringType()) if f.name in kept_text else f for f in raw.schema]
+        raw = read_delimited(
+            spark,
+            source,
+            separator=known.separator if separator is None else separator,
+            encoding=known.encoding if encoding is None else encoding,
+            schema=T.StructType(fields),
+        )
     clean = clean_source(
         raw, known.entity_column if entity_column is None else entity_column, legacy_upper_o
     )
     suite = suite_for(table) if suite is None else suite
     rowwise = [e for e in suite if not e.unique_key]
 
-    if on_failure == "raise" or len(rowwise) < len(suite):
+    if on_failure == "raise":
         outcome = run_suite(clean, suite, table)
         write_dq_report(outcome, report, run_date)
         filed = read_dq_report(spark, report, table, run_date)
-        if on_failure == "raise" and not filed.where(~F.col("success")).isEmpty():
+        if not filed.where(~F.col("success")).isEmpty():
             raise DataQualityError(f"{table}: see the report under {report}")
         write_layer(clean, target)
         return filed
 
-    watch = watch_suite(clean, suite, table)
+    watch = watch_suite(clean, rowwise, table)
     write_layer(watch.df, target)
-    write_dq_report(watch.report(), report, run_date)
+    reports = [watch.report()] if rowwise else []
+    if keys := [e for e in suite if e.unique_key]:
+        reports.append(run_suite(read_layer(spark, target), keys, table))
+    write_dq_report(union_by_name(*reports), report, run_date)
     return read_dq_report(spark, report, table, run_date)
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakestrata.operators import conform, default_nulls, unify
 from lakestrata.plans.paths import require_apart
 from lakestrata.sinks import write_layer
 from lakestrata.sources import (
-    concat_by_name,
     list_files,
     read_layer,
     read_route,
@@ -165,11 +165,15 @@ def route_job(
     A category without files is left out.
     """
     require_apart(target, raw)
-    for category, prefix in routes.items():
-        files = list_files(spark, raw, f"{prefix}*")
-        if route_by_filename(files, "file_name", prefix, years).isEmpty():
-            continue
-        write_layer(read_route(spark, raw, prefix, years), f"{target.rstrip('/')}/{category}")
+    # One listing for all categories, kept while they are written.
+    files = list_files(spark, raw).select("file_path", "file_name").persist()
+    try:
+        for category, prefix in routes.items():
+            if route_by_filename(files, "file_name", prefix, years).isEmpty():
+                continue
+            write_layer(read_route(spark, raw, prefix, years, files=files), f"{target.rstrip('/')}/{category}")
+    finally:
+        files.unpersist()
 
 
 def silver_job(
@@ -181,12 +185,15 @@ def silver_job(
     from_raw: bool = False,
     years: tuple[int, int] | None = SILVER_YEARS,
     clustered: bool = False,
+    schema: T.StructType | str | None = None,
 ) -> None:
     """Trips of one colour to a dataset partitioned by date.
 
     `source` is what `route_job` wrote, or, with `from_raw=True`, the raw files
     of all categories: the colour's files of `years` are then picked while
-    reading, which saves writing the routed copy.
+    reading, which saves writing the routed copy. Routed files share the schema
+    that `route_job` gave them, so one footer is read; `schema` saves the footers of
+    raw files.
 
     By default rows are shuffled by date, which gives few, evenly sized files.
     Raw files that hold few dates each may be written as they lie, without a
@@ -194,9 +201,9 @@ def silver_job(
     """
     require_apart(target, source)
     if from_raw:
-        trips = read_route(spark, source, SILVER_ROUTES[colour], years)
+        trips = read_route(spark, source, SILVER_ROUTES[colour], years, schema=schema)
     else:
-        trips = concat_by_name(spark, source)
+        trips = read_layer(spark, source, schema=schema)
     write_layer(
         silver(trips, colour), target, partition_by="partition_date", clustered=clustered
     )

@@ -50,8 +50,8 @@ def clean(spark, root, table, **options):
 
 
 WANTED_DELIVERY = [
-    ("itau", "15.00", "1,500,000.00", "4.50", "3.50", "s1", 123456789012),
-    ("itau", "15.00", "1,500,000.00", "4.50", "3.50", "s2", 12345678901),
+    ("itau", "15.00", "1,500,000.00", "4.50", "3.50", "s1", "123456789012"),
+    ("itau", "15.00", "1,500,000.00", "4.50", "3.50", "s2", "12345678901"),
     ("otimo banco", None, "20.00", None, None, "s1", None),
 ]
 
