@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from lakestrata.operators import union_by_name
 from lakestrata.plans import (
     BANK_SOURCES,
+    ROUTES,
     clean_source_job,
     delivery_table_job,
     gold_job,
+    route_job,
     silver_job,
 )
-from lakestrata.quality import run_suite, write_dq_report
+from lakestrata.quality import expect_length_equal, expect_unique_key, read_dq_report, write_dq_report
 from lakestrata.queries import quality, tables as t
 from lakestrata.session import work_folder
 from lakestrata.sinks import write_delimited, write_layer
 from lakestrata.sources import (
     concat_by_name,
     land_recursive,
+    list_files,
+    name_collisions,
     preview,
     read_delimited,
     read_layer,
@@ -62,14 +66,46 @@ def headerless_round_trip(spark, sf_dir):
     )
 
 
-def partitioned_round_trip(spark, sf_dir):
-    """A dataset partitioned by date, read back for a range of dates."""
+def _by_day(spark, sf_dir):
+    """Orders partitioned by day; every seventh has none."""
     path = work_folder(spark, "partitioned")
-    orders = t.table(spark, sf_dir, "orders").withColumn(
-        "partition_date", F.trunc("o_orderdate", "month")
+    orders = t.table(spark, sf_dir, "orders").selectExpr(
+        "*", "if(o_orderkey % 7 = 0, null, to_date(o_orderdate)) as partition_date"
     )
     write_layer(orders, path, partition_by="partition_date")
-    return read_layer(spark, path).where("partition_date >= date'1997-01-01'")
+    return path
+
+
+def partitioned_round_trip(spark, sf_dir):
+    """A dataset partitioned by date, read back whole."""
+    return read_layer(spark, _by_day(spark, sf_dir))
+
+
+def partitioned_range(spark, sf_dir):
+    """A dataset partitioned by date, read back for a range of dates."""
+    return read_layer(spark, _by_day(spark, sf_dir)).where("partition_date >= date'1997-01-01'")
+
+
+def concat_partitioned(spark, sf_dir):
+    """A partitioned layer keeps its partition column."""
+    return concat_by_name(spark, _by_segment(spark, sf_dir))
+
+
+def _by_segment(spark, sf_dir):
+    path = work_folder(spark, "by-segment")
+    write_layer(t.table(spark, sf_dir, "customer"), path, partition_by="c_mktsegment")
+    return path
+
+
+def concat_with_schema(spark, sf_dir):
+    """Columns of a given schema, also ones that no file has; no footer is read first."""
+    root = work_folder(spark, "concat-schema")
+    customers = t.table(spark, sf_dir, "customer")
+    write_layer(customers.select("c_custkey", "c_name"), f"{root}/a")
+    write_layer(customers.select("c_custkey", "c_acctbal"), f"{root}/b")
+    return concat_by_name(
+        spark, root, schema="c_custkey bigint, c_name string, c_acctbal double, c_phone string"
+    )
 
 
 def concat_files(spark, sf_dir):
@@ -83,39 +119,138 @@ def concat_files(spark, sf_dir):
     return concat_by_name(spark, root)
 
 
-def concat_tables(spark, sf_dir):
+def concat_files_by_name(spark, sf_dir):
+    root = work_folder(spark, "concat-by-name")
+    customers = t.table(spark, sf_dir, "customer")
+    write_layer(customers.select("c_custkey", "c_name"), f"{root}/a")
+    write_layer(customers.select("c_acctbal", "c_custkey"), f"{root}/b")
+    return concat_by_name(spark, root)
+
+
+def union_tables(spark, sf_dir):
     customers = t.table(spark, sf_dir, "customer")
     return union_by_name(
         customers.select("c_custkey", "c_name"), customers.select("c_acctbal", "c_custkey")
     )
 
 
-def landed(spark, sf_dir):
-    """Files at several depths as one table."""
+def _named_file(df, root, name):
+    """Write a table as one parquet file of that name, by way of Spark's own file system."""
+    spark = df.sparkSession
+    df.coalesce(1).write.parquet(f"{root}/_staged/{name}")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    staged = jvm.Path(f"{root}/_staged/{name}")
+    system = staged.getFileSystem(spark._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in system.listStatus(staged) if s.getPath().getName().startswith("part-")]
+    target = jvm.Path(f"{root}/{name}")
+    system.mkdirs(target.getParent())
+    if not system.rename(part, target):
+        raise OSError(f"cannot name {name}")
+
+
+def _supplier_files(spark, sf_dir):
+    """Suppliers of each region of nations as one file; two folders use one base name."""
     root = work_folder(spark, "landing")
     suppliers = t.table(spark, sf_dir, "supplier")
-    write_layer(suppliers, os.path.join(root, "x"))
-    write_layer(suppliers, os.path.join(root, "y", "z"))
-    return (
-        land_recursive(spark, root)
-        .withColumn("is_parquet", F.col("source_file").endswith(".parquet"))
-        .drop("source_file")
+    _named_file(suppliers.where("s_nationkey % 3 = 0"), root, "x/some.parquet")
+    _named_file(suppliers.where("s_nationkey % 3 = 1"), root, "y/z/some.parquet")
+    _named_file(suppliers.where("s_nationkey % 3 = 2"), root, "y/other.parquet")
+    return root
+
+
+def landed(spark, sf_dir):
+    """Files at several depths as one table, with the name each row came from."""
+    return land_recursive(spark, _supplier_files(spark, sf_dir))
+
+
+def landed_partitions(spark, sf_dir):
+    """A partitioned layer landed with its partition column."""
+    return land_recursive(spark, _by_segment(spark, sf_dir)).drop("source_file")
+
+
+def names_that_meet(spark, sf_dir):
+    """Base names that lie in several folders."""
+    root = _supplier_files(spark, sf_dir)
+    below = F.length(F.regexp_extract("first_path", "^(.*/landing-[^/]*/)", 1)) + 1
+    return name_collisions(list_files(spark, root)).select(
+        "file_name",
+        "n_files",
+        F.substr("first_path", below).alias("first_path"),
+        F.substr("last_path", below).alias("last_path"),
     )
 
 
 def text_preview(spark, sf_dir):
+    """The first lines of one text file, written in the order of the names."""
     path = work_folder(spark, "preview")
-    t.table(spark, sf_dir, "documents").select("text").write.text(path)
+    names = t.table(spark, sf_dir, "nation").select("n_name")
+    names.coalesce(1).sortWithinPartitions("n_name").write.text(path)
     return preview(spark, path, 20)
 
 
+def temporary_view(spark, sf_dir):
+    """A layer queried by name in SQL."""
+    path = work_folder(spark, "view")
+    write_layer(t.table(spark, sf_dir, "orders"), path)
+    read_layer(spark, path).createOrReplaceTempView("layer_of_orders")
+    return spark.sql(
+        "select o_orderpriority, count(*) as n_orders, max(o_totalprice) as largest"
+        " from layer_of_orders group by o_orderpriority"
+    )
+
+
+_TRIP_YEARS = (1994, 1998)
+
+
+def _raw_trip_files(spark, sf_dir):
+    """Trips as one raw file a category and year, besides a file without a year."""
+    root = work_folder(spark, "raw-trips")
+    categories = {
+        "green": (t.green_trips(spark, sf_dir), "lpep_dropoff_datetime"),
+        "yellow": (t.yellow_trips(spark, sf_dir), "tpep_dropoff_datetime"),
+        "fhv": (t.yellow_trips(spark, sf_dir).select("VendorID", "tpep_dropoff_datetime"), "tpep_dropoff_datetime"),
+    }
+    for name, (trips, day) in categories.items():
+        for year in range(1992, 1999):
+            _named_file(trips.where(F.year(day) == year), root, f"{name}_tripdata_{year}-01.parquet")
+        _named_file(trips.where(F.year(day) > 1998), root, f"{name}_tripdata_latest.parquet")
+    return root
+
+
+def routed_years(spark, sf_dir):
+    """The routed copy of each colour's files of some years."""
+    raw, target = _raw_trip_files(spark, sf_dir), work_folder(spark, "routed")
+    route_job(spark, raw, target, years=_TRIP_YEARS)
+    parts = [
+        read_layer(spark, f"{target}/{c}").select(F.lit(c).alias("category"), "DOLocationID", day)
+        for c, day in (("green", "lpep_dropoff_datetime"), ("yellow", "tpep_dropoff_datetime"))
+    ]
+    return parts[0].union(parts[1]).withColumnRenamed("lpep_dropoff_datetime", "dropoff")
+
+
+def routed_categories(spark, sf_dir):
+    """Every category without a choice of years; a category without files is left out."""
+    raw, target = _raw_trip_files(spark, sf_dir), work_folder(spark, "routed-all")
+    route_job(spark, raw, target, routes=ROUTES, years=None)
+    parts = [
+        read_layer(spark, f"{target}/{c}").select(F.lit(c).alias("category"), "VendorID")
+        for c in ("green", "yellow", "fhv")
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def silver_from_raw(spark, sf_dir):
+    """Silver straight from the raw files of some years."""
+    raw, target = _raw_trip_files(spark, sf_dir), work_folder(spark, "silver-raw")
+    silver_job(spark, "green", raw, target, from_raw=True, years=_TRIP_YEARS)
+    return read_layer(spark, target)
+
+
 def report_round_trip(spark, sf_dir):
     """The report of `dq_report` as JSON by table and date."""
     path = work_folder(spark, "dq")
     write_dq_report(quality.dq_report(spark, sf_dir), path, _DAY)
-    return spark.read.json(path).select(
-        "table", "expectation", "column", "success", "element_count", "report_date"
-    )
+    return read_dq_report(spark, path, "customer", _DAY)
 
 
 def _clean(spark, sf_dir, root, name, raw, **options):
@@ -139,12 +274,31 @@ def clean_source_files(spark, sf_dir):
 
 
 def clean_source_report(spark, sf_dir):
-    """The checks taken while a layer is written."""
+    """The checks taken while a layer is written, of the tables with a suite and of another one."""
     root = work_folder(spark, "clean-report")
     _, employees = _clean(spark, sf_dir, root, "Empregados", t.employees)
     _, banks = _clean(spark, sf_dir, root, "Banco", t.banks)
-    columns = ["table", "expectation", "column", "success", "element_count", "missing_count", "unexpected_count"]
-    return employees.select(columns).union(banks.select(columns))
+    _, complaints = _clean(spark, sf_dir, root, "Reclamacoes", t.complaints)
+    return employees.unionByName(banks).unionByName(complaints)
+
+
+def _zero_led_banks(spark, sf_dir):
+    """Banks whose keys start with zeros."""
+    return t.banks(spark, sf_dir).withColumn("CNPJ", F.lpad(F.expr("CNPJ - 100000000000").cast("string"), 12, "0"))
+
+
+def clean_source_keys(spark, sf_dir):
+    """Keys keep their leading zeros."""
+    target, _ = _clean(spark, sf_dir, work_folder(spark, "clean-keys"), "Banco", _zero_led_banks)
+    return read_layer(spark, target)
+
+
+def clean_source_key_report(spark, sf_dir):
+    """A rule on rows and one on the key in one suite."""
+    suite = [expect_length_equal("cnpj", 12), expect_unique_key("cnpj")]
+    root = work_folder(spark, "clean-key-report")
+    _, report = _clean(spark, sf_dir, root, "Banco", _zero_led_banks, suite=suite)
+    return report
 
 
 def delivery_files(spark, sf_dir):
@@ -159,16 +313,12 @@ def delivery_files(spark, sf_dir):
 
 
 def taxi_files(spark, sf_dir):
-    """Raw trips to silver to gold, each layer written and read; months as dates."""
+    """Raw trips to silver to gold, each layer written by day and read."""
     root = work_folder(spark, "taxi")
     silver_paths = {}
-    for colour, raw, pickup in (
-        ("yellow", t.yellow_trips, "tpep_pickup_datetime"),
-        ("green", t.green_trips, "lpep_pickup_datetime"),
-    ):
+    for colour, raw in (("yellow", t.yellow_trips), ("green", t.green_trips)):
         source = os.path.join(root, "raw", colour)
-        months = raw(spark, sf_dir).withColumn(pickup, F.expr(f"cast(trunc({pickup}, 'month') as timestamp_ntz)"))
-        write_layer(months, source)
+        write_layer(raw(spark, sf_dir), source)
         silver_paths[colour] = os.path.join(root, "silver", colour)
         silver_job(spark, colour, source, silver_paths[colour])
     gold_job(spark, silver_paths, os.path.join(root, "gold"))
@@ -179,26 +329,40 @@ QUERIES = {
     "read_delimited": delimited_round_trip,
     "write_delimited": headerless_round_trip,
     "write_layer_partitioned": partitioned_round_trip,
+    "read_layer_pruned": partitioned_range,
     "concat_files": concat_files,
-    "concat_by_name": concat_tables,
+    "concat_by_name": concat_files_by_name,
+    "concat_partitioned": concat_partitioned,
+    "concat_schema": concat_with_schema,
+    "union_by_name": union_tables,
     "land_recursive": landed,
+    "land_partitioned": landed_partitions,
+    "name_collisions": names_that_meet,
+    "temporary_view": temporary_view,
+    "route_years": routed_years,
+    "route_categories": routed_categories,
+    "silver_from_raw": silver_from_raw,
     "preview": text_preview,
     "write_dq_report": report_round_trip,
     "clean_source_files": clean_source_files,
     "clean_source_report": clean_source_report,
+    "clean_source_keys": clean_source_keys,
+    "clean_source_key_report": clean_source_key_report,
     "delivery_table_files": delivery_files,
     "taxi_layers_files": taxi_files,
 }
 
-_MONTHS_GOLD = t.GOLD_SQL.replace(
-    "l_shipdate end as lpep_pickup_datetime", "date_trunc('month', l_shipdate)::timestamp end as lpep_pickup_datetime"
-).replace(
-    "l_shipdate::date end as partition_date", "date_trunc('month', l_shipdate)::date end as partition_date"
-).replace(
-    "o_orderdate as tpep_pickup_datetime", "date_trunc('month', o_orderdate)::timestamp as tpep_pickup_datetime"
-).replace(
-    "o_orderdate::date as partition_date", "date_trunc('month', o_orderdate)::date as partition_date"
-)
+_KEYS_AS_TEXT = "select * replace (cnpj::varchar as cnpj) from ({})"
+
+_FILED = "'2024-03-05' as report_date, '2024' as year, '03' as month, '05' as day"
+
+
+def _filed(row, source):
+    return f"select {row}, {_FILED} from {source}"
+
+
+_BANKS_COUNTED = f"(select count(*) as n from ({t.BANKS_SQL}))"
+_ZERO_LED_SQL = f"select * replace (lpad((cnpj - 100000000000)::varchar, 12, '0') as cnpj) from ({t.BANKS_SQL})"
 
 ORACLES = {
     "read_delimited": """
@@ -211,8 +375,11 @@ select case l_orderkey % 3
 from lineitem""",
     "write_delimited": "select * from customer",
     "write_layer_partitioned": """
-select *, date_trunc('month', o_orderdate)::date as partition_date
-from orders where o_orderdate >= timestamp '1997-01-01'""",
+select *, case when o_orderkey % 7 = 0 then null else o_orderdate::date end as partition_date
+from orders""",
+    "read_layer_pruned": """
+select *, o_orderdate::date as partition_date
+from orders where o_orderkey % 7 <> 0 and o_orderdate >= timestamp '1997-01-01'""",
     "concat_files": """
 select c_custkey, c_nationkey::double as amount, c_name, null::varchar as c_mktsegment from customer
 union all
@@ -220,21 +387,79 @@ select c_custkey, c_acctbal, null, c_mktsegment from customer""",
     "concat_by_name": """
 select c_custkey, c_name, null::double as c_acctbal from customer
 union all
+select c_custkey, null, c_acctbal from customer""",
+    "concat_partitioned": "select * from customer",
+    "concat_schema": """
+select c_custkey, c_name, null::double as c_acctbal, null::varchar as c_phone from customer
+union all
+select c_custkey, null, c_acctbal, null from customer""",
+    "union_by_name": """
+select c_custkey, c_name, null::double as c_acctbal from customer
+union all
 select c_custkey, null, c_acctbal from customer""",
     "land_recursive": """
-select *, true as is_parquet from supplier union all select *, true from supplier""",
-    "write_dq_report": f"""
-select "table", expectation, "column", success, element_count, '2024-03-05' as report_date
-from ({quality.DQ_CUSTOMER_SQL})""",
-    "clean_source_files": t.BANKS_SQL,
-    "clean_source_report": f"""
-select 'Empregados' as "table", 'expect_column_values_to_match_regex' as expectation,
-       'nome' as "column", count(*) = 0 as success, count(*) as element_count,
-       0::bigint as missing_count, count(*) as unexpected_count
-from events
+select *, case when s_nationkey % 3 = 2 then 'other.parquet' else 'some.parquet' end as source_file
+from supplier""",
+    "land_partitioned": "select * from customer",
+    "name_collisions": """
+select 'some.parquet' as file_name, count(distinct s_nationkey % 3) as n_files,
+       'x/some.parquet' as first_path, 'y/z/some.parquet' as last_path
+from supplier where s_nationkey % 3 < 2""",
+    "preview": "select n_name as value from nation order by n_name limit 20",
+    "temporary_view": """
+select o_orderpriority, count(*) as n_orders, max(o_totalprice) as largest from orders group by 1""",
+    "route_years": """
+select 'green' as category, l_orderkey as DOLocationID, l_shipdate as dropoff
+from lineitem where year(l_shipdate) between 1994 and 1998
+union all
+select 'yellow', o_orderkey, o_orderdate from orders where year(o_orderdate) between 1994 and 1998""",
+    "route_categories": """
+select 'green' as category, l_suppkey as VendorID from lineitem
+union all
+select 'yellow', o_custkey from orders
 union all
-select 'Banco', 'expect_column_value_lengths_to_equal', 'cnpj', true, count(*), 0, 0
-from ({t.BANKS_SQL})""",
-    "delivery_table_files": t.DELIVERY_SQL,
-    "taxi_layers_files": _MONTHS_GOLD,
+select 'fhv', o_custkey from orders""",
+    "silver_from_raw": f"""
+select * from ({t.GREEN_SILVER_SQL}) where year(lpep_dropoff_datetime) between 1994 and 1998""",
+    "write_dq_report": f"select *, {_FILED} from ({quality.DQ_CUSTOMER_SQL})",
+    "clean_source_files": _KEYS_AS_TEXT.format(t.BANKS_SQL),
+    "clean_source_keys": _ZERO_LED_SQL,
+    "clean_source_key_report": " union all ".join(
+        (
+            _filed(
+                quality.row("Banco", "expect_column_value_lengths_to_equal", "cnpj", "0::bigint", "0::bigint"),
+                _BANKS_COUNTED,
+            ),
+            _filed(
+                quality.row("Banco", "expect_column_values_to_be_unique_key", "cnpj", "0::bigint", "u"),
+                f"""(select count(*) as n, count(*) filter (k > 1) as u from
+                     (select count(*) over (partition by cnpj) as k from ({_ZERO_LED_SQL})))""",
+            ),
+        )
+    ),
+    "clean_source_report": " union all ".join(
+        (
+            _filed(
+                quality.row("Empregados", "expect_column_values_to_match_regex", "nome", "0::bigint", "n"),
+                "(select count(*) as n from events)",
+            ),
+            _filed(
+                quality.row("Banco", "expect_column_value_lengths_to_equal", "cnpj", "0::bigint", "0::bigint"),
+                _BANKS_COUNTED,
+            ),
+            _filed(
+                quality.row(
+                    "Reclamacoes",
+                    "expect_column_values_to_be_of_type",
+                    "quantidade_total_de_clientes__ccs_e_scr",
+                    "m",
+                    "(n - m)",
+                    "false",
+                ),
+                "(select count(*) as n, 0::bigint as m from lineitem)",
+            ),
+        )
+    ),
+    "delivery_table_files": _KEYS_AS_TEXT.format(t.DELIVERY_SQL),
+    "taxi_layers_files": t.GOLD_SQL,
 }

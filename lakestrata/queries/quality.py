@@ -61,7 +61,7 @@ _COLUMNS = (
 )
 
 
-def _row(table, expectation, column, missing, unexpected, success=None):
+def row(table, expectation, column, missing, unexpected, success=None):
     percent = f"case when n > {missing} then {unexpected} * 100.0::double / (n - {missing}) end"
     return _COLUMNS.format(
         table, expectation, column, success or f"{unexpected} = 0", missing, unexpected, percent
@@ -81,9 +81,9 @@ with s as (
          count(*) filter (length(c_mktsegment) <> 9) as u1
   from (select c_mktsegment, case c_custkey % 4 when 0 then null when 1 then ''
           when 2 then c_mktsegment else c_name end as name_text from customer))
-select {_row("customer", "expect_column_values_to_match_regex", "name_text", "m0", "u0")} from s
+select {row("customer", "expect_column_values_to_match_regex", "name_text", "m0", "u0")} from s
 union all
-select {_row("customer", "expect_column_value_lengths_to_equal", "c_mktsegment", "0::bigint", "u1")} from s
+select {row("customer", "expect_column_value_lengths_to_equal", "c_mktsegment", "0::bigint", "u1")} from s
 union all
 select {_unknown("customer", "expect_column_value_lengths_to_equal", "no_such_column")} from s
 """
@@ -92,9 +92,9 @@ ORACLES = {
     "dq_report": DQ_CUSTOMER_SQL,
     "dq_type_check": f"""
 with s as (select count(*) as n, 0::bigint as zero from orders)
-select {_row("orders", "expect_column_values_to_be_of_type", "o_orderkey", "0::bigint", "zero")} from s
+select {row("orders", "expect_column_values_to_be_of_type", "o_orderkey", "0::bigint", "zero")} from s
 union all
-select {_row("orders", "expect_column_values_to_be_of_type", "o_orderkey", "0::bigint", "n", "false")} from s
+select {row("orders", "expect_column_values_to_be_of_type", "o_orderkey", "0::bigint", "n", "false")} from s
 union all
 select {_unknown("orders", "expect_column_values_to_be_of_type", "quantidade_total_de_clientes")} from s
 """,
@@ -104,9 +104,9 @@ with s as (
          count(*) filter (o_orderkey in (select o_orderkey from orders group by 1 having count(*) > 1)) as u0,
          count(*) filter (o_custkey in (select o_custkey from orders group by 1 having count(*) > 1)) as u1
   from orders)
-select {_row("orders", "expect_column_values_to_be_unique_key", "o_orderkey", "0::bigint", "u0")} from s
+select {row("orders", "expect_column_values_to_be_unique_key", "o_orderkey", "0::bigint", "u0")} from s
 union all
-select {_row("orders", "expect_column_values_to_be_unique_key", "o_custkey", "0::bigint", "u1")} from s
+select {row("orders", "expect_column_values_to_be_unique_key", "o_custkey", "0::bigint", "u1")} from s
 """,
     "dq_key_violations": """
 select nullif(o_custkey, 1) as o_custkey, count(*) as n_rows
