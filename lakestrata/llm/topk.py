@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
+from lakestrata.session import work_folder
 
 #: Vectors of one shard, queries of one block, vectors of one leaf.
 SHARD, BLOCK, LEAF = 8192, 4096, 128
@@ -128,8 +129,8 @@ def top_k(
     size; a task holds one shard and one block. Each query is searched in one
     shard first, and its k-th score there is the floor for all other shards, so
     their trees are cut from the start. Each pair of a query and a shard gives k
-    rows at most. A shuffle holds every part, so a lost executor's part is made
-    again.
+    rows at most. Vectors and floors are written to the shared folder, so a lost
+    executor costs its tasks only.
     """
     vector = F.col(quoted(vector_col))
     rows = (
@@ -143,32 +144,37 @@ def top_k(
         F.count(F.when(F.col(quoted(id_col)) % every == 0, 1)).alias("queries"),
     ).first()
     shards, blocks = -(-sizes["rows"] // SHARD) or 1, -(-sizes["queries"] // BLOCK) or 1
-    rows = rows.withColumn("shard", F.monotonically_increasing_id() % shards)
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     schema = "query_id long, vec_id long, score long"
     key = ["shard", "block"]
+    folder = work_folder(df.sparkSession, "top-k")
+    rows.withColumn("shard", F.monotonically_increasing_id() % shards).write.parquet(f"{folder}/rows")
+    queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).write.parquet(f"{folder}/queries")
 
-    home = queries.withColumn("shard", F.col("block") % shards).withColumn("floor", F.lit(float("-inf")))
-    home_rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).where(
-        F.col("block") % shards == F.col("shard")
+    def part(name: str) -> DataFrame:
+        return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+    def every_one(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    at_home = F.col("block") % shards == F.col("shard")
+    home = part("queries").select(
+        "vec_id", "vector", "block", (F.col("block") % shards).alias("shard"), F.lit(float("-inf")).alias("floor")
+    )
+    home_rows = part("rows").withColumn("block", every_one(blocks)).where(at_home)
+    home.groupBy(*key).cogroup(home_rows.groupBy(*key)).applyInPandas(_search(k), schema).write.parquet(
+        f"{folder}/first"
     )
-    first = home.groupBy(*key).cogroup(home_rows.groupBy(*key)).applyInPandas(_search(k), schema)
+    first = part("first")
     if shards > 1:
         floors = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor"))
-        others = (
-            queries.join(floors, queries["vec_id"] == floors["query_id"], "left")
-            .select(
-                "vec_id",
-                "vector",
-                "block",
-                F.when(F.col("n") == k, F.col("floor").cast("double")).otherwise(float("-inf")).alias("floor"),
-                F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-            )
-            .where(F.col("block") % shards != F.col("shard"))
-        )
-        other_rows = rows.withColumn(
-            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-        ).where(F.col("block") % shards != F.col("shard"))
+        part("queries").join(floors, F.col("vec_id") == F.col("query_id"), "left").select(
+            "vec_id",
+            "vector",
+            "block",
+            F.when(F.col("n") == k, F.col("floor").cast("double")).otherwise(float("-inf")).alias("floor"),
+        ).write.parquet(f"{folder}/floors")
+        others = part("floors").withColumn("shard", every_one(shards)).where(~at_home)
+        other_rows = part("rows").withColumn("block", every_one(blocks)).where(~at_home)
         rest = others.groupBy(*key).cogroup(other_rows.groupBy(*key)).applyInPandas(_search(k), schema)
         first = first.unionByName(rest)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
