@@ -1,0 +1,77 @@
+"""The pipeline against its stages done by hand."""
+
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from lakestrata.llm.quality_cnn import score_quality
+from lakestrata.llm.shingles import shingle_hashes
+from lakestrata.llm.toxicity import score_toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "exact_dedup", "near_dup", "packing"]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    left = set(texts)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name == "toxicity":
+            left -= {r.doc_id for r in score_toxicity(docs, labels).where("predicted = 1").collect()}
+        elif name == "quality":
+            left &= {r.doc_id for r in score_quality(docs, labels).where("predicted = 1").collect()}
+        elif name == "exact_dedup":
+            last = {texts[i]: i for i in sorted(left)}
+            left = set(last.values())
+        else:
+            left = first_of_each(sorted(left), texts)
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        found = spark.read.parquet(str(tmp_path / name))
+        assert found.columns == docs.columns and found.count() == len(left)
+        assert {r.doc_id for r in found.collect()} == left
+        docs = found
+    assert 50 < len(left) < len(texts)
+
+    rows = corpus_pipeline.packing(spark, docs, SF).collect()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for doc_id in left:
+        ids = np.array([*library.encode(texts[doc_id], add_special_tokens=False).ids, 2], "<u4")
+        pieces = sorted((r for r in rows if r.doc_id == doc_id), key=lambda r: r.piece)
+        assert sum(r.length for r in pieces) == len(ids)
+        assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in pieces)
+
+    ran = entry.queries()["pipeline"](spark, SF).collect()
+    assert sorted(map(str, ran)) == sorted(map(str, rows))
+
+
+def first_of_each(ids, texts):
+    sets = {i: Counter(shingle_hashes(texts[i]).tolist()) for i in ids}
+    root = {i: i for i in ids}
+    for i in ids:
+        for j in ids:
+            if j < i and root[i] != root[j] and (sets[i] & sets[j]).total() >= 0.8 * (sets[i] | sets[j]).total():
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    return set(root.values())
+
+
+def test_a_pipeline_of_nothing(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_null_texts_and_extra_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = docs.withColumns({"text": F.when(F.col("doc_id") % 9 != 0, F.col("text")), "row": F.lit(1), "key": F.lit("k")})
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 20
