@@ -33,7 +33,7 @@ def repeated(data: np.ndarray) -> np.ndarray:
     same = np.zeros(len(data), bool)
     for back in range(2, GAP):
         same[back:] |= code[back:] == code[:-back]
-    out[same & (data > 0)] = 1
+    out[same & (data > 0) & (code > 0)] = 1
     return out
 
 
@@ -192,7 +192,8 @@ def score_quality(
     Null texts are empty, a single chunk of zeros that gets a score as well.
     Documents without an id are held out. If the labels are all of one class,
     that class is every score; without labels it is 1, so nothing is rejected.
-    Rows are independent, and repeated ones get equal scores. An empty table gives
+    Rows are independent, and repeated ones get equal scores, which are rounded to
+    six decimals. An empty table gives
     no rows; other columns are read only for `carry`, which adds the source row as
     the struct `row`.
     """
@@ -224,8 +225,8 @@ def score_quality(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array(scores, pa.float64()),
-                    pa.array((scores >= threshold).astype(np.int32)),
+                    pa.array(np.round(scores, 6), pa.float64()),
+                    pa.array((np.round(scores, 6) >= threshold).astype(np.int32)),
                     *([batch.column(2)] if carry else []),
                 ],
                 names,
