@@ -37,22 +37,32 @@ def concat_by_name(
     hold the file name. `schema` gives the columns of the result, partition
     columns among them, and saves reading any footer.
     """
-    files = list_files(spark, list(paths), glob)
-    partitioned = files.select(F.regexp_extract("file_path", _PARTITION, 1).alias("base")).distinct()
-    # The tops of partitioned datasets, one for a whole layer; "" stands for files outside of any.
-    bases = sorted(r.base for r in partitioned.collect())
-    if len([b for b in bases if b]) == 0:
-        return _merged(spark, list(paths), glob, keep, provenance, schema, base=None)
-    parts = [_merged(spark, [b], glob, keep, provenance, schema, base=b) for b in bases if b]
-    if "" in bases:
-        flat = [r.folder for r in _flat_folders(files).collect()]
-        parts.append(_merged(spark, flat, glob, keep, provenance, schema, base=None, deep=False))
-    return union_by_name(*parts)
-
-
-def _flat_folders(files: DataFrame) -> DataFrame:
-    outside = files.where(F.regexp_extract("file_path", _PARTITION, 1) == "")
-    return outside.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    parts = []
+    for path in paths:
+        files = list_files(spark, path, glob).select("file_path", _dataset(path).alias("base"))
+        # The tops of partitioned datasets, one for a whole layer; null for files outside of any.
+        bases = sorted(r.base or "" for r in files.select("base").distinct().collect())
+        if not any(bases):
+            parts.append(_merged(spark, [path], glob, keep, provenance, schema, base=None))
+            continue
+        parts += [_merged(spark, [b], glob, keep, provenance, schema, base=b) for b in bases if b]
+        if "" in bases:
+            folder = F.regexp_extract("file_path", "^(.*)/[^/]*$", 1)
+            flat = [r[0] for r in files.where("base is null").select(folder).distinct().collect()]
+            parts.append(_merged(spark, flat, glob, keep, provenance, schema, base=None, deep=False))
+    return parts[0] if len(parts) == 1 else union_by_name(*parts)
+
+
+def _dataset(path: str) -> Column:
+    """The folder below (or at) `path` whose sub-folders are named `column=value`; null for other files."""
+    root = path.rstrip("/")
+    if root.startswith("file:"):
+        root = "/" + root[len("file:") :].lstrip("/")
+    after = F.instr("file_path", root) + len(root)
+    below = F.substr("file_path", after)
+    partitioned = (F.instr("file_path", root) > 0) & below.rlike(_PARTITION)
+    base = F.concat(F.substr("file_path", F.lit(1), after - 1), F.regexp_extract(below, _PARTITION, 1))
+    return F.when(partitioned, base)
 
 
 def _merged(spark, paths, glob, keep, provenance, schema, base, deep=True) -> DataFrame:

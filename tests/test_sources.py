@@ -237,3 +237,11 @@ def test_types_that_differ_in_a_partitioned_layer(spark, tmp_path, rows):
     spark.range(2, 4).selectExpr("cast(id as double) id").write.parquet(f"{tmp_path}/d=2")
     df = concat_by_name(spark, str(tmp_path))
     assert rows(df.select("id", "d")) == [(0.0, 1), (1.0, 1), (2.0, 2), (3.0, 2)]
+
+
+def test_folders_above_the_path_are_no_partitions(spark, tmp_path, rows):
+    spark.range(2).write.parquet(f"{tmp_path}/run=5/raw/a")
+    spark.range(9).write.parquet(f"{tmp_path}/run=6/raw/a")
+    df = concat_by_name(spark, f"{tmp_path}/run=5/raw")
+    assert df.columns == ["id"] and rows(df) == [(0,), (1,)]
+    assert concat_by_name(spark, f"file://{tmp_path}").columns == ["id", "run"]
