@@ -6,8 +6,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
@@ -16,6 +17,10 @@ from lakestrata.session import work_folder
 
 #: Values of a signature and of a band: texts of similarity 0.8 share a band with probability 0.9999.
 SIGNATURE, BAND = 120, 5
+#: A pair is compared in full if its signatures agree at no less than the threshold minus this.
+SLACK = 0.16
+#: About so many members on each side of a cell, and rows of a task that compares cells.
+CELL, GROUP = 256, 8192
 _CHUNK = 1 << 18
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Up to so many darts fall on a unit of area; more has a probability below 2 ** -64.
@@ -83,11 +88,24 @@ def bands(signature: np.ndarray, rows: int = BAND) -> np.ndarray:
     return out.view(np.int64)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The weighted Jaccard similarity of two multisets."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = np.minimum(a[1][i], b[1][j]).sum()
-    return float(shared / (a[1].sum() + b[1].sum() - shared))
+def marks(signature: np.ndarray) -> bytes:
+    """16 bits of each value: two signatures agree where their marks do, but for one case in 65,536."""
+    return (mix(signature) >> np.uint64(48)).astype("<u2").tobytes()
+
+
+def expanded(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A multiset as an ascending set of 32-bit numbers, one for each copy of each element."""
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.unique((mix(np.repeat(elements, counts) + _GOLD * nth.astype(np.uint64)) >> np.uint64(32)).astype("<u4"))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """The Jaccard similarity of two ascending sets: the weighted one of the multisets they were."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    shared = int((b[at] == a).sum())
+    return shared / (len(a) + len(b) - shared)
 
 
 def _key(text: Column) -> Column:
@@ -95,110 +113,139 @@ def _key(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
 
 
+_SKETCH = "key binary, bands array<long>, marks binary, runs binary"
+
+
 def _sketch(words: int, size: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, np.ndarray] = {}
+            seen: dict[bytes, tuple] = {}
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if key not in seen:
                     elements, counts = weighted_shingles(text.as_py(), words)
-                    seen[key] = bands(dart_minhash(elements, counts, size), rows)
+                    signature = dart_minhash(elements, counts, size)
+                    seen[key] = bands(signature, rows), marks(signature), expanded(elements, counts).tobytes()
+            columns = zip(*seen.values(), strict=True) if seen else [()] * 3
+            kinds = [pa.list_(pa.int64()), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.list_(pa.int64()))],
-                ["key", "bands"],
+                [pa.array(list(seen), pa.binary()), *map(pa.array, columns, kinds)], ["key", "bands", "marks", "runs"]
             )
 
     return sketch
 
 
-def _verify(words: int, threshold: float):
+def _verify(threshold: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-
-        def shingles(key: bytes, text: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-            if key not in kept:
-                if len(kept) >= 64:
-                    kept.clear()
-                kept[key] = weighted_shingles(text.as_py(), words)
-            return kept[key]
-
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             near = [
-                similarity(shingles(x, s), shingles(y, t)) >= threshold
-                for x, y, s, t in zip(a, b, batch.column("text_a"), batch.column("text_b"), strict=True)
+                similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) >= threshold
+                for x, y in zip(batch.column("runs_a").to_pylist(), batch.column("runs_b").to_pylist(), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())], ["a", "b", "near"]
-            )
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return verify
 
 
-def _leaders(live: DataFrame, most: int) -> DataFrame:
-    """The first `most` members of each bucket: by smallest key in one half of the buckets, by largest in the other."""
-    if most == 1:
-        first = F.when(F.col("bucket") % 2 == 0, F.min("key")).otherwise(F.max("key"))
-        return live.groupBy("bucket").agg(first.alias("leader"))
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "key"), "key")
-    return (
-        live.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("bucket", F.col("key").alias("leader"))
+def _compare(threshold: float, least: float):
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        """Links between the members of each cell, its strangers on one side and all its members on the other."""
+        found: list[tuple[bytes, bytes]] = []
+        rows = rows.sort_values(["bucket", "own", "other"], kind="stable")
+        cell = rows[["bucket", "own", "other"]].to_numpy()
+        cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
+        for part in np.split(np.arange(len(rows)), cuts):
+            here = rows.iloc[part]
+            stranger = here["stranger"].to_numpy()
+            if not stranger.any() or stranger.all():
+                continue
+            mine, all_ = here[stranger], here[~stranger]
+            keys, roots, runs = (all_[c].to_numpy() for c in ("key", "root", "runs"))
+            sketches = np.frombuffer(b"".join(all_["marks"]), "<u2").reshape(len(all_), -1)
+            joined: dict[bytes, bytes] = {}  # roots met here
+
+            def top(root: bytes) -> bytes:
+                while root in joined:
+                    root = joined[root]
+                return root
+
+            for key, root, run, mark in mine[["key", "root", "runs", "marks"]].itertuples(index=False):
+                share = (sketches == np.frombuffer(mark, "<u2")).mean(axis=1)
+                own = np.frombuffer(run, "<u4")
+                for i in np.flatnonzero((share >= least) & (roots != root)):
+                    x, y = top(root), top(roots[i])
+                    if x != y and similarity(own, np.frombuffer(runs[i], "<u4")) >= threshold:
+                        joined[max(x, y)] = min(x, y)
+                        found.append((min(key, keys[i]), max(key, keys[i])))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return compare
+
+
+def _links(
+    spark: SparkSession, texts: DataFrame, folder: str, words: int, threshold: float, size: int, rows: int
+) -> DataFrame:
+    """Key and root of every text that is linked to another one."""
+    texts.mapInArrow(_sketch(words, size, rows), _SKETCH).write.parquet(f"{folder}/sketches")
+    sketches = spark.read.parquet(f"{folder}/sketches")
+    members = sketches.select("key", "bands").dropDuplicates(["key"]).select("key", F.explode("bands").alias("bucket"))
+    # The smallest key leads one half of the buckets, the largest the other.
+    ends = members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
+    leaders = ends.select("bucket", F.when(F.col("bucket") % 2 == 0, F.col("low")).otherwise(F.col("high")).alias("leader"))
+    members.join(leaders, "bucket").write.parquet(f"{folder}/live")
+    live = spark.read.parquet(f"{folder}/live")
+    # Only texts that share a band with another one are compared.
+    suspects = live.select("key").distinct()
+    sketches.join(suspects, "key", "left_semi").dropDuplicates(["key"]).select("key", "marks", "runs").write.parquet(
+        f"{folder}/sets"
     )
+    sets = spark.read.parquet(f"{folder}/sets")
 
-
-def _links(spark: SparkSession, texts: DataFrame, folder: str, words: int, threshold: float, size: int, rows: int):
-    """Pairs (a, b) of keys of similar texts, enough to join all that a band brought together."""
-    sketches = (
-        texts.mapInArrow(_sketch(words, size, rows), "key binary, bands array<long>")
-        .groupBy("key")
-        .agg(F.first("bands").alias("bands"))
+    met = live.where("key <> leader")
+    pairs = met.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("runs").alias("runs_a")), "a").join(
+        sets.select(F.col("key").alias("b"), F.col("runs").alias("runs_b")), "b"
     )
-    sketches.write.parquet(f"{folder}/sketches")
-    members = spark.read.parquet(f"{folder}/sketches").select("key", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members.join(shared, "bucket", "left_semi").write.parquet(f"{folder}/live-0")
-    live = spark.read.parquet(f"{folder}/live-0")
-    # Texts that share a band with another one; only they are read again.
-    suspects = live.select("key").distinct()
-    texts.join(suspects, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).write.parquet(
-        f"{folder}/texts"
-    )
-    suspect_texts = spark.read.parquet(f"{folder}/texts")
-    text_a = suspect_texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    text_b = suspect_texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-
-    checked = None
-    step, most = 0, 1
-    while not live.isEmpty():
-        leaders = _leaders(live, most)
-        met = live.join(leaders, "bucket").where(F.col("key") != F.col("leader"))
-        met = met.select("bucket", "key", "leader", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
-        pairs = met.select("a", "b").distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        found = pairs.join(text_a, "a").join(text_b, "b").select("a", "b", "text_a", "text_b")
-        found.mapInArrow(_verify(words, threshold), "a binary, b binary, near boolean").write.parquet(
-            f"{folder}/checked/step={step}"
-        )
-        checked = spark.read.schema("a binary, b binary, near boolean").parquet(
-            *(f"{folder}/checked/step={i}" for i in range(step + 1))
+    both.mapInArrow(_verify(threshold), "a binary, b binary").write.parquet(f"{folder}/links-first")
+    first = spark.read.parquet(f"{folder}/links-first")
+    roots = _components(spark, first, f"{folder}/first")
+
+    # Members of a bucket outside its most frequent component are compared with all others of it.
+    placed = live.select("bucket", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    placed.write.parquet(f"{folder}/placed")
+    placed = spark.read.parquet(f"{folder}/placed")
+    homes = (
+        placed.groupBy("bucket", "root")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("n", "root")).alias("home"), F.sum("n").alias("n"))
+        .where("home.n < n")
+        .select(
+            "bucket",
+            F.col("home.root").alias("home"),
+            F.ceil(F.col("n") / CELL).alias("n_other"),
+            F.ceil((F.col("n") - F.col("home.n")) / CELL).alias("n_own"),
         )
-        # A member similar to a leader of its bucket is done there, as are the leaders; the rest meets the next ones.
-        lone = (
-            met.join(checked, ["a", "b"])
-            .groupBy("bucket", "key")
-            .agg(F.max("near").alias("near"))
-            .where(~F.col("near"))
-            .select("bucket", "key")
-            .join(leaders.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
-        )
-        again = lone.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        lone.join(again, "bucket", "left_semi").write.parquet(f"{folder}/live-{step + 1}")
-        live = spark.read.parquet(f"{folder}/live-{step + 1}")
-        step, most = step + 1, most * 4
-    if checked is None:
-        return spark.createDataFrame([], "a binary, b binary")
-    return checked.where("near").select("a", "b")
+    )
+    split = placed.join(homes, "bucket")
+    block = lambda n: F.pmod(F.xxhash64("key"), n)
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    kept = ["bucket", "key", "root"]
+    strangers = split.where("root <> home").select(
+        *kept, F.lit(True).alias("stranger"), block(F.col("n_own")).alias("own"), all_of(F.col("n_other")).alias("other")
+    )
+    others = split.select(
+        *kept, F.lit(False).alias("stranger"), all_of(F.col("n_own")).alias("own"), block(F.col("n_other")).alias("other")
+    )
+    strangers.unionByName(others).write.parquet(f"{folder}/cells")
+    cells = spark.read.parquet(f"{folder}/cells")
+    groups = -(-cells.count() // GROUP) or 1
+    cells.join(sets, "key").withColumn("group", F.pmod(F.xxhash64("bucket", "own", "other"), F.lit(groups))).groupBy(
+        "group"
+    ).applyInPandas(_compare(threshold, threshold - SLACK), "a binary, b binary").write.parquet(f"{folder}/links-second")
+    second = spark.read.parquet(f"{folder}/links-second")
+    if second.isEmpty():
+        return roots
+    return _components(spark, first.unionByName(second), f"{folder}/second")
 
 
 def _components(spark: SparkSession, links: DataFrame, folder: str) -> DataFrame:
@@ -216,9 +263,10 @@ def _components(spark: SparkSession, links: DataFrame, folder: str) -> DataFrame
         down = large.where("v < u")
         lowest = down.groupBy("u").agg(F.min("v").alias("m"))
         # So do the smaller ones, and the key itself.
+        own, neighbour = F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
         small = (
             down.join(lowest, "u")
-            .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+            .select(F.explode(F.array(own, neighbour)).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
             .distinct()
@@ -239,35 +287,33 @@ def near_duplicates(
     text_col: str = "text",
     carry: bool = False,
 ) -> DataFrame:
-    """One row per row of `df`: doc_id, class_id, class_size, links, kept.
+    """One row per row of `df`: doc_id, class_id, class_size, kept.
 
     Texts are alike if the multisets of their word runs have a weighted Jaccard
     similarity of at least `threshold`; classes are what such links connect.
     class_id is the smallest id of the class, whose row is `kept` (one row, if
-    several have that id; a null id only if all are null), links the number of
-    verified links from the row's text to other texts. `carry` adds the whole
+    several have that id; a null id only if all are null). `carry` adds the whole
     source row as the struct `row`. Equal texts are one node and never make pairs;
     a null text is empty. Texts of fewer than `words` words are one run of all
     they have, so they are alike only if their words are equal; a text without
     words equals any other such. An empty table gives no rows; other columns are
     read only for `carry`.
 
-    Texts that share a band are candidates. Each bucket compares its members with
-    one leader, and those unlike it with four more, then sixteen, until each
-    member is linked to a leader or was compared with all other such members; no
-    bucket is gathered or capped, and pairs are made only against leaders. Each
-    candidate is checked on its whole text. The steps write to the shared folder,
-    so nothing is computed twice and a lost executor costs its tasks only.
+    Texts that share a band are candidates. Each bucket first compares its members
+    with one leader. What those links connect needs no more comparing among
+    itself, so of each bucket only the members outside its most frequent component
+    are then compared with all others of it, in cells of bounded size: no bucket is
+    gathered, capped or spelt out in pairs, and no link between two classes is
+    missed within a bucket. Signatures sort out pairs whose agreement is more than
+    four standard deviations below the threshold; each link is checked on the
+    runs of both whole texts. The steps write to the shared folder, so nothing is
+    computed twice and a lost executor costs its tasks only.
     """
     spark = df.sparkSession
     folder = work_folder(spark, "near-dup")
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     texts = df.select(_key(text).alias("key"), text.alias("text"))
-    links = _links(spark, texts, folder, words, threshold, size, rows)
-    roots = _components(spark, links, folder)
-    degrees = (
-        links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-    )
+    roots = _links(spark, texts, folder, words, threshold, size, rows)
     carried = [F.struct(*(F.col(quoted(c)) for c in df.columns)).alias("row")] if carry else []
     named = (
         df.select(
@@ -277,16 +323,18 @@ def near_duplicates(
             *carried,
         )
         .join(roots, "key", "left")
-        .join(degrees, "key", "left")
         .withColumn("class", F.coalesce("root", "key"))
+        .drop("key", "root")
     )
+    # Both sides of the last join read one table, so that equal rows have one place.
+    named.write.parquet(f"{folder}/named")
+    named = spark.read.parquet(f"{folder}/named")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place")
-    classes = named.groupBy("class").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    classes = spark.read.parquet(f"{folder}/named").groupBy("class").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("class_size"))
     return named.join(classes, "class").select(
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
         "class_size",
-        F.coalesce("links", F.lit(0).cast("long")).alias("links"),
         (F.col("place") == F.col("first.place")).alias("kept"),
         *(["row"] if carry else []),
     )
