@@ -52,7 +52,8 @@ class WordIds:
     A text is cut before a blank or line feed that follows another character,
     where no token of the vocabulary and no match of the splitting pattern goes
     across; a word is cut between a letter and the punctuation it ends in. Ids
-    are kept as packed unsigned 32-bit integers, at most `most` words at a time.
+    are kept as packed unsigned 32-bit integers: `most` parts, half as many words
+    made of them, and what one batch adds.
 
     `encode` gives the packed ids of many strings. With `drops_space` the
     vocabulary ignores white space; without, a word carries the white space
@@ -61,14 +62,14 @@ class WordIds:
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], drops_space: bool, most: int = 1_000_000):
         self.encode, self.drops_space, self.most = encode, drops_space, most
-        self.lead = "" if drops_space else " "
         self.bare: dict[str, bytes] = {}  # strings as they are
-        self.after: dict[str, bytes] = self.bare if drops_space else {}  # words that follow one blank
+        self.after: dict[str, bytes] = {}  # words that follow one blank
+        self.made: list[tuple[dict[str, bytes], str]] = []  # words put together from parts, and where they are
 
-    def _ids(self, kept: dict[str, bytes], lead: str, words: Iterable[str]) -> dict[str, bytes]:
-        """The ids of each distinct word; `kept` gets the parts that it lacks."""
-        cut: dict[str, list[str]] = {}
-        for word in set(words):
+    def _learn(self, kept: dict[str, bytes], lead: str, words: Iterable[str]) -> None:
+        """Put the ids of all words into `kept`."""
+        plain, tails, made = set(), set(), []
+        for word in set(words).difference(kept):
             parts = []
             for line in _BREAK.split(word) if "\n" in word else (word,):
                 base = line.rstrip(_TAIL)
@@ -76,26 +77,38 @@ class WordIds:
                     parts += (base, line[len(base) :])
                 else:
                     parts.append(line)
-            cut[word] = parts
-        for known, before, wanted in (
-            (kept, lead, {parts[0] for parts in cut.values()}),
-            (self.bare, "", {x for parts in cut.values() for x in parts[1:]}),
-        ):
+            plain.add(parts[0])
+            if len(parts) > 1:
+                tails.update(parts[1:])
+                made.append((word, parts))
+        for known, before, wanted in ((kept, lead, plain), (self.bare, "", tails)):
             missing = list(wanted.difference(known))
             for start, end in by_bytes(missing, BATCH_BYTES // 8):
                 part = missing[start:end]
                 known.update(zip(part, self.encode([before + w for w in part]), strict=True))
         bare = self.bare.__getitem__
-        return {w: kept[p[0]] if len(p) == 1 else kept[p[0]] + b"".join(map(bare, p[1:])) for w, p in cut.items()}
+        for word, parts in made:
+            kept[word] = kept[parts[0]] + b"".join(map(bare, parts[1:]))
+        self.made += [(kept, word) for word, _ in made]
+
+    def _forget(self) -> None:
+        """Stay within the bounds: words made of others go first."""
+        if len(self.made) > self.most // 2:
+            for kept, word in self.made:
+                kept.pop(word, None)
+            self.made.clear()
+        if len(self.bare) + len(self.after) - len(self.made) > self.most:
+            self.bare.clear()
+            self.after.clear()
+            self.made.clear()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        if len(self.bare) + len(self.after) > self.most:
-            self.bare.clear()
-            self.after.clear()
+        self._forget()
         if self.drops_space:
             cut = [t.replace("\n", " ").split(" ") for t in texts]
-            get = self._ids(self.bare, "", chain.from_iterable(cut)).__getitem__
+            self._learn(self.bare, "", chain.from_iterable(cut))
+            get = self.bare.__getitem__
             return [b"".join(map(get, words)) for words in cut]
         plain, chunked, whole = {}, {}, {}
         for i, text in enumerate(texts):
@@ -108,8 +121,9 @@ class WordIds:
             else:
                 plain[i] = words
         first = chain((w[0] for w in plain.values()), chain.from_iterable(chunked.values()))
-        bare = self._ids(self.bare, "", first).__getitem__
-        after = self._ids(self.after, " ", chain.from_iterable(w[1:] for w in plain.values())).__getitem__
+        self._learn(self.bare, "", first)
+        self._learn(self.after, " ", chain.from_iterable(w[1:] for w in plain.values()))
+        bare, after = self.bare.__getitem__, self.after.__getitem__
         out = [b""] * len(texts)
         for i, words in plain.items():
             out[i] = bare(words[0]) + b"".join(map(after, words[1:]))
