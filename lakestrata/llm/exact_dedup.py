@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
+from lakestrata.session import work_folder
 
 PREFIX_CHARS = 64
 
@@ -19,10 +20,11 @@ def duplicate_groups(
     are one group. The largest id of a group stays (null ids count as smallest),
     and of rows that repeat that id with the same text only the last read is
     `kept`. `carry` adds the whole source row as the struct `row`. Lengths and prefix hashes are counted
-    on narrow rows; the whole text is hashed only where both agree with another
+    before any shuffle; the whole text is hashed only where both agree with another
     row's. `hash_all` fills text_sha256 for the others too. Counts combine before
     their shuffle, and the joins are plain ones whose large partitions adaptive
-    execution splits, so a group may hold any share of the rows. An empty table
+    execution splits, so a group may hold any share of the rows. The hashes are
+    written to the shared folder once. An empty table
     gives no rows; other columns are not read.
     """
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
@@ -36,12 +38,12 @@ def duplicate_groups(
         F.monotonically_increasing_id().alias("place"),
         *carried,
     )
-    lengths = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Lengths that occur once need no second look; the others are told apart by the start of the text.
+    starts = rows.groupBy("length", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    lengths = starts.groupBy("length").agg(F.sum("n").alias("of_length")).where("of_length > 1")
     alike = (
-        rows.join(lengths.select("length"), "length", "left_semi")
-        .groupBy("length", "prefix")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+        starts.where("n > 1")
+        .join(lengths, "length", "left_semi")
         .select("length", "prefix", F.lit(True).alias("alike"))
     )
     digest = F.sha2(F.col("text").cast("binary"), 256)
@@ -55,13 +57,18 @@ def duplicate_groups(
         (digest if hash_all else F.when(F.col("alike"), digest)).alias("text_sha256"),
     )
     key = ["length", "prefix", "text_sha256"]
+    # Both sides of the last join read one table, so that equal rows have one place.
+    path = work_folder(df.sparkSession, "exact-dedup")
+    hashed.write.parquet(path)
+    found = df.sparkSession.read.parquet(path)
     groups = (
-        hashed.where("alike")
+        df.sparkSession.read.parquet(path)
+        .where("alike")
         .groupBy(*key)
         .agg(F.max(F.struct("doc_id", "place")).alias("keep"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    joined = hashed.join(groups, key, "left")
+    joined = found.join(groups, key, "left")
     grouped = F.col("n").isNotNull()
     return joined.select(
         "doc_id",
