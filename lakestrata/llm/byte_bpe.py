@@ -180,7 +180,12 @@ def bpe_round_trip(
                     of_bytes.append(hashlib.sha256(decoded).hexdigest())
                     if ids:
                         all_ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
-            arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+            arrays = [
+                batch.column(0),
+                pa.array(counts, pa.int64()),
+                pa.array(of_ids, pa.string()),
+                pa.array(of_bytes, pa.string()),
+            ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
                 arrays.append(pa.array(all_ids, pa.list_(pa.int32())))

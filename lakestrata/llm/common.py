@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,12 +63,13 @@ class WordIds:
         self.encode, self.drops_space, self.most = encode, drops_space, most
         self.bare: dict[str, bytes] = {}  # strings as they are
         self.after: dict[str, bytes] = {}  # words that follow one blank
-        self.made: list[tuple[dict[str, bytes], str]] = []  # words put together from parts, and where they are
+        self.made_bare: list[str] = []  # those of each that were put together from parts
+        self.made_after: list[str] = []
 
     def _learn(self, kept: dict[str, bytes], lead: str, words: Iterable[str]) -> None:
-        """Put the ids of all words into `kept`."""
+        """Put the ids of words that `kept` lacks into it."""
         plain, tails, made = set(), set(), []
-        for word in set(words).difference(kept):
+        for word in words:
             parts = []
             for line in _BREAK.split(word) if "\n" in word else (word,):
                 base = line.rstrip(_TAIL)
@@ -89,46 +89,65 @@ class WordIds:
         bare = self.bare.__getitem__
         for word, parts in made:
             kept[word] = kept[parts[0]] + b"".join(map(bare, parts[1:]))
-        self.made += [(kept, word) for word, _ in made]
+        (self.made_after if kept is self.after else self.made_bare).extend(word for word, _ in made)
+
+    def _find(self, kept: dict[str, bytes], lead: str, words: list[str]) -> list[bytes]:
+        """The ids of each word; most words were met before, so one look at each suffices."""
+        found = list(map(kept.get, words))
+        missing, at = [], -1
+        try:
+            while True:
+                missing.append(at := found.index(None, at + 1))
+        except ValueError:
+            pass
+        if missing:
+            self._learn(kept, lead, {words[i] for i in missing})
+            for i in missing:
+                found[i] = kept[words[i]]
+        return found
 
     def _forget(self) -> None:
         """Stay within the bounds: words made of others go first."""
-        if len(self.made) > self.most // 2:
-            for kept, word in self.made:
-                kept.pop(word, None)
-            self.made.clear()
-        if len(self.bare) + len(self.after) - len(self.made) > self.most:
-            self.bare.clear()
-            self.after.clear()
-            self.made.clear()
+        made = ((self.bare, self.made_bare), (self.after, self.made_after))
+        composed = len(self.made_bare) + len(self.made_after)
+        if len(self.bare) + len(self.after) - composed > self.most:
+            for kept, words in made:
+                kept.clear()
+                words.clear()
+        elif composed > self.most // 2:
+            for kept, words in made:
+                for word in words:
+                    kept.pop(word, None)
+                words.clear()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
         self._forget()
         if self.drops_space:
-            cut = [t.replace("\n", " ").split(" ") for t in texts]
-            self._learn(self.bare, "", chain.from_iterable(cut))
-            get = self.bare.__getitem__
-            return [b"".join(map(get, words)) for words in cut]
-        plain, chunked, whole = {}, {}, {}
+            words, ends = [], []
+            for text in texts:
+                words += text.replace("\n", " ").split(" ")
+                ends.append(len(words))
+            found = self._find(self.bare, "", words)
+            return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+        out = [b""] * len(texts)
+        first, rest, ends, whole = [], [], [], {}
         for i, text in enumerate(texts):
             if _OTHER_SPACE.search(text):
                 whole[i] = text
                 continue
             words = text.split(" ")
             if "" in words:
-                chunked[i] = _CHUNK.findall(text)
+                first += _CHUNK.findall(text)
             else:
-                plain[i] = words
-        first = chain((w[0] for w in plain.values()), chain.from_iterable(chunked.values()))
-        self._learn(self.bare, "", first)
-        self._learn(self.after, " ", chain.from_iterable(w[1:] for w in plain.values()))
-        bare, after = self.bare.__getitem__, self.after.__getitem__
-        out = [b""] * len(texts)
-        for i, words in plain.items():
-            out[i] = bare(words[0]) + b"".join(map(after, words[1:]))
-        for i, words in chunked.items():
-            out[i] = b"".join(map(bare, words))
+                first.append(words[0])
+                rest += words[1:]
+            ends.append((i, len(first), len(rest)))
+        first, rest = self._find(self.bare, "", first), self._find(self.after, " ", rest)
+        a = b = 0
+        for i, c, d in ends:
+            out[i] = b"".join(first[a:c]) + b"".join(rest[b:d])
+            a, b = c, d
         if whole:
             for i, ids in zip(whole, self.encode(list(whole.values())), strict=True):
                 out[i] = ids

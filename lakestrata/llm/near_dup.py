@@ -19,8 +19,8 @@ from lakestrata.session import work_folder
 SIGNATURE, BAND = 120, 5
 #: A pair is compared in full if its signatures agree at no less than the threshold minus this.
 SLACK = 0.16
-#: About so many members on each side of a cell, and rows of a task that compares cells.
-CELL, GROUP = 256, 8192
+#: About so many members on each side of a cell, and bytes of cells that a task compares at a time.
+CELL, GROUP = 256, 4 << 20
 _CHUNK = 1 << 18
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Up to so many darts fall on a unit of area; more has a probability below 2 ** -64.
@@ -238,7 +238,9 @@ def _links(
     )
     strangers.unionByName(others).write.parquet(f"{folder}/cells")
     cells = spark.read.parquet(f"{folder}/cells")
-    groups = -(-cells.count() // GROUP) or 1
+    sizes = sets.select("key", (F.octet_length("runs") + F.octet_length("marks") + 64).alias("size"))
+    total = cells.join(sizes, "key").agg(F.sum("size")).first()[0] or 0
+    groups = -(-total // GROUP) or 1
     cells.join(sets, "key").withColumn("group", F.pmod(F.xxhash64("bucket", "own", "other"), F.lit(groups))).groupBy(
         "group"
     ).applyInPandas(_compare(threshold, threshold - SLACK), "a binary, b binary").write.parquet(f"{folder}/links-second")

@@ -32,11 +32,12 @@ def pack_block(values: np.ndarray) -> bytes:
     (32 bits) of the exceptions.
     """
     low = int(values.min())
-    rest = (values - np.uint32(low)).astype(">u4")
+    rest = values - np.uint32(low)
     at = int(PERCENTILE * (len(rest) - 1))
     width = int(np.partition(rest, at)[at]).bit_length()
-    bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1)[:, 32 - width :]
-    places = np.flatnonzero(rest >> width) if width < 32 else np.empty(0, int)
+    size = 16 if width <= 16 else 32
+    bits = np.unpackbits(rest.astype(f">u{size // 8}").view(np.uint8).reshape(len(rest), -1), axis=1)[:, size - width :]
+    places = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, int)
     return b"".join(
         (
             pack(_HEAD, low, width, len(places)),
@@ -52,9 +53,10 @@ def unpack_block(data: bytes, at: int, n: int) -> np.ndarray:
     low, width, exceptions = unpack_from(_HEAD, data, at)
     at += 7
     size = (n * width + 7) // 8
-    bits = np.zeros((n, 32), np.uint8)
-    bits[:, 32 - width :] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width).reshape(n, width)
-    rest = np.packbits(bits, axis=1).view(">u4").ravel().astype("<u4")
+    whole = 16 if width <= 16 else 32
+    bits = np.zeros((n, whole), np.uint8)
+    bits[:, whole - width :] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width).reshape(n, width)
+    rest = np.packbits(bits, axis=1).view(f">u{whole // 8}").ravel().astype("<u4")
     at += size
     places = np.frombuffer(data, "<u2", exceptions, at)
     rest[places] = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)

@@ -107,7 +107,7 @@ def features(toxic: np.ndarray, ordinary: np.ndarray) -> list[float]:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
-    """Weights of a logistic regression on standardised columns, turned back to the columns as they are; last the constant."""
+    """Weights of a logistic regression for the columns as they are; the last is the constant."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     weights = np.zeros(z.shape[1])

@@ -178,7 +178,7 @@ def test_near_duplicates_of_odd_texts(odd_documents, odd_texts, no_documents, cl
 def test_one_bucket_of_many_that_are_hardly_alike(spark, monkeypatch):
     """Copies with few to many changes: most are linked, the rest only to some or to none."""
     monkeypatch.setattr(near_dup, "CELL", 16)
-    monkeypatch.setattr(near_dup, "GROUP", 200)
+    monkeypatch.setattr(near_dup, "GROUP", 20_000)
     rng = np.random.default_rng(6)
     base = [f"w{i}" for i in range(150)]
     texts = []
