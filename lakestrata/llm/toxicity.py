@@ -18,6 +18,10 @@ from lakestrata.llm.shingles import mix, word_hashes
 CELL_BITS = 22
 #: Words of one passage: an expression and what stands beside it.
 PASSAGE = 3
+#: Words that are rated as one, so that a long text is as good a hiding place as a short one.
+BLOCK = 64
+#: What chooses the block of a learning text that the last step is fitted to: its two passages.
+EVIDENCE = np.array([1.0, 1.0, 0.0, 0.0])
 #: What each class's counts lose to the shared backoff.
 DISCOUNT = 3.0
 #: Labelled rows, about, that the last step is fitted to.
@@ -93,22 +97,43 @@ class KneserNey:
         return self.log_shares(*counts)
 
 
-def features(toxic: np.ndarray, ordinary: np.ndarray) -> list[float]:
-    """Of a text: the two highest passages' differences, the whole text's, and the number of passages (log).
+def worst_block(toxic: np.ndarray, ordinary: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Features of the block of a text that `weights` (without a constant) rate highest.
 
-    A difference is that of the log-likelihoods over the number of words; a
-    passage is a run of 16 words, and passages cover the whole text.
+    Blocks are of `BLOCK` words and overlap by half, so that what stands around a
+    passage does not weigh it down, however long the text is; a shorter text is one
+    block. Of a block: the two highest passages' differences that do not overlap,
+    the whole block's, and its number of words (log). A difference is that of the
+    log-likelihoods over the number of words.
     """
     if not len(toxic):
-        return [0.0, 0.0, 0.0, 0.0]
+        return np.zeros(4)
     apart = (toxic - ordinary).astype(float)
-    sums = np.sort(np.add.reduceat(apart, np.arange(0, len(apart), PASSAGE)) / PASSAGE)
-    return [sums[-1], sums[-2] if len(sums) > 1 else 0.0, apart.mean(), np.log(len(sums))]
+    width = min(len(apart), BLOCK)
+    held = np.pad(apart, (0, max(0, PASSAGE - width)))
+    runs = np.lib.stride_tricks.sliding_window_view(held, PASSAGE).sum(axis=1) / PASSAGE
+    size = max(1, width - PASSAGE + 1)
+    passages = np.lib.stride_tricks.sliding_window_view(runs, size)
+    words = np.lib.stride_tricks.sliding_window_view(apart, width)
+    starts = np.append(np.arange(0, len(apart) - width, BLOCK // 2), len(apart) - width)
+    found = []
+    for i in range(0, len(starts), 1 << 14):
+        here = passages[starts[i : i + (1 << 14)]]
+        top = here.argmax(axis=1)
+        best = here[np.arange(len(here)), top]
+        here[np.abs(np.arange(size) - top[:, None]) < PASSAGE] = -np.inf
+        second = here.max(axis=1)
+        second[np.isneginf(second)] = 0
+        mean = words[starts[i : i + (1 << 14)]].mean(axis=1)
+        rows = np.column_stack([best, second, mean, np.full(len(here), np.log(width))])
+        found.append(rows[(rows @ weights).argmax()])
+    return max(found, key=lambda row: row @ weights)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
     """Weights of a logistic regression for the columns as they are; the last is the constant."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale <= 1e-6 * (1 + np.abs(mean))] = np.inf  # a column without differences gets no weight
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     weights = np.zeros(z.shape[1])
     for _ in range(steps):
@@ -182,9 +207,10 @@ def score_toxicity(
     Learns from the labelled rows whose crc32(id as text) mod 5 is not 0; only
     texts go into a score. Words before a word are counted over all learning
     texts as Spark aggregates; the counts land in a fixed number of cells. A text
-    is compared by its length-normalised log-likelihoods in both classes, as a
-    whole and in its most toxic passages; a logistic step, fitted to about 20,000
-    learning texts each scored as if the model had not seen it, gives the score.
+    is compared by its log-likelihoods in both classes block by block, each as a
+    whole and in its most toxic passages; a logistic step, fitted to the worst blocks
+    of about 20,000 learning texts each scored as if the model had not seen it, rates
+    the blocks, and the highest is the text's score, whatever its length.
 
     Null texts are empty; a text without words gets the score of no evidence, and
     log-likelihoods of 0. Documents without an id are held out. If the labels
@@ -226,7 +252,7 @@ def score_toxicity(
                     continue
                 cells = _cells(word_hashes(text))
                 a, b = tables[0][cells], tables[1][cells]
-                z = weights[:-1] @ features(a, b) + weights[-1]
+                z = weights[:-1] @ worst_block(a, b, weights[:-1]) + weights[-1]
                 n = max(1, len(cells))
                 rows.append((1 / (1 + np.exp(-np.clip(z, -30, 30))), a.sum(dtype=float) / n, b.sum(dtype=float) / n))
             scores, toxic, ordinary = (np.array(c, float) for c in zip(*rows, strict=True)) if rows else [np.empty(0)] * 3
@@ -259,7 +285,7 @@ def _fit(learning: DataFrame, known, share: float) -> np.ndarray | None:
             rows = []
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 cells, pairs = word_pairs(text.as_py())
-                rows.append([*features(*model.without(cells, pairs, bool(label))), float(label)])
+                rows.append([*worst_block(*model.without(cells, pairs, bool(label)), EVIDENCE), float(label)])
             columns = zip(*rows, strict=True) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in columns], ["a", "b", "c", "d", "y"])
 

@@ -82,6 +82,36 @@ def test_a_word_of_one_class_is_found(spark):
     assert toxic.toxic_ll - toxic.ordinary_ll > clean.toxic_ll - clean.ordinary_ll
 
 
+def test_toxic_words_in_a_long_text_are_found(spark):
+    documents, labels = learning_documents(spark)
+    rng = np.random.default_rng(7)
+    own = [f"wo{i}" for i in rng.integers(0, 300, 100_000)]
+    texts = {-1: own, -2: [*own[:60_000], "vile", *own[:20], "vile", *own[60_000:]], -3: own[:12_000]}
+    texts[-4] = ["vile", *own[:20], "vile", *own[:12_000]]
+    texts[-5] = [*own[:12_000], "vile", *own[:20], "vile"]
+    more = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], documents.schema)
+    found = {r.doc_id: r.predicted for r in score_toxicity(documents.union(more), labels).collect() if r.doc_id < 0}
+    assert found == {-1: 0, -2: 1, -3: 0, -4: 1, -5: 1}
+
+
+def test_worst_block_by_hand():
+    rng = np.random.default_rng(9)
+    weights = np.array([1.0, 2.0, 0.5, -1.0])
+    for n in (1, 2, 3, 5, 63, 64, 65, 96, 97, 500):
+        apart = rng.normal(size=n)
+        width = min(n, toxicity.BLOCK)
+        found = []
+        for start in [*range(0, n - width, toxicity.BLOCK // 2), n - width]:
+            block = apart[start : start + width]
+            runs = [block[i : i + 3].sum() / 3 for i in range(max(1, width - 2))]
+            top = int(np.argmax(runs))
+            second = max((r for i, r in enumerate(runs) if abs(i - top) > 2), default=0.0)
+            found.append([runs[top], second, block.mean(), np.log(width)])
+        best = max(found, key=lambda row: np.dot(row, weights))
+        assert toxicity.worst_block(apart, np.zeros(n), weights) == pytest.approx(best)
+    assert toxicity.worst_block(np.empty(0), np.empty(0), weights).tolist() == [0, 0, 0, 0]
+
+
 @pytest.mark.parametrize("score", [score_toxicity, score_quality])
 def test_labels_of_held_out_rows_and_other_columns_do_not_count(spark, score, monkeypatch):
     monkeypatch.setattr(quality_cnn, "EPOCHS", 1)
