@@ -84,6 +84,32 @@ def test_texts_that_agree_in_length_and_start_are_kept_apart(spark):
     assert found == {1: (3, 2), 2: (2, 1), 3: (3, 2)}
 
 
+def test_words_of_other_scripts():
+    def count(text):
+        return len(word_hashes(text))
+
+    assert count("one\u00a0two\u2014three \u201cfour\u201d five\u2026six") == 6
+    assert (word_hashes("\u201cÉté\u201d caf\u00e9") == word_hashes("été café")).all()
+    assert (word_hashes("the café")[0] == word_hashes("the")[0]) and count("\U0001f600\U0001f600 a") == 1
+    assert count("漢字。かな\u3000カナ") == 6 and count("漢字abc字") == 4
+    assert count("ที่นี่") == 2 and count("한국어 문장") == 2 and count("हिन्दी में") == 2 and count("\U00020000\U00020001") == 2
+    assert count("\U0001f600 \U0001f601") == 2 and count("\u3000\u00a0") == 0
+    assert count("\ue000\ue001") == count("\x7f") == 1
+
+
+def test_near_copies_without_blanks(spark):
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(4):
+        own = [chr(c) for c in rng.integers(0x4E00, 0x9000, 400)]
+        texts.append("".join(own))
+        own[200] = "。"
+        texts.append("".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_dup.near_duplicates(df).collect()
+    assert sum(r.kept for r in rows) == 4 and len(rows) == 8
+
+
 def test_words_and_shingles():
     assert len(word_hashes("One two, THREE-four\n")) == 4
     assert (word_hashes("aB c") == word_hashes("Ab... C")).all()
