@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.llm.byte_bpe import bpe_round_trip
 from lakestrata.llm.common import table
 from lakestrata.llm.exact_dedup import duplicate_groups
+from lakestrata.llm.merkle import manifest
 from lakestrata.llm.near_dup import near_duplicates
 from lakestrata.llm.packing import pack_documents
 from lakestrata.llm.quality_cnn import score_quality
@@ -69,6 +70,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_exact_dedup,
         op10_quality,
+        op11_merkle_manifest,
     )
 }
 
@@ -110,4 +116,77 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    # A level at a time up, then each leaf's way; crc32 goes bit by bit over the digits of the id.
+    "op11_merkle_manifest": """
+        WITH RECURSIVE f AS (
+            SELECT doc_id, lang,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   text,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+                   list_reduce(
+                       [4294967295::BIGINT] || flatten(list_transform(
+                           string_split(doc_id::VARCHAR, ''),
+                           lambda c: list_transform(range(8), lambda i: ((ascii(c) >> i::INTEGER) & 1)::BIGINT))),
+                       lambda crc, bit: CASE WHEN xor(crc, bit) & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END
+                   ) AS state
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, coalesce('1' || lang, '0') AS tree,
+                   sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN xor(state, 4294967295) % 3 = 0
+                        THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS altered,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS rank
+            FROM f
+        ), nodes AS (
+            SELECT tree, 0 AS level, rank AS place, leaf AS digest FROM leaves
+            UNION ALL
+            SELECT tree, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place))
+            FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes)
+            WHERE n > 1 GROUP BY tree, level, place // 8
+        ), subroots AS (
+            SELECT tree, arg_max(digest, level) AS subroot, max(level) AS height,
+                   row_number() OVER (ORDER BY tree) - 1 AS rank
+            FROM nodes GROUP BY tree
+        ), tops AS (
+            SELECT 0 AS level, rank AS place, subroot AS digest FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place))
+            FROM (SELECT *, count(*) OVER () AS n FROM tops)
+            WHERE n > 1 GROUP BY level, place // 8
+        ), steps AS (
+            SELECT l.doc_id, l.rank AS id_rank, l.tree, n.level,
+                   string_agg(n.digest, '' ORDER BY n.place) FILTER (n.place < (l.rank >> (3 * n.level)::INTEGER)) AS before,
+                   string_agg(n.digest, '' ORDER BY n.place) FILTER (n.place > (l.rank >> (3 * n.level)::INTEGER)) AS after
+            FROM leaves l JOIN subroots s USING (tree)
+            JOIN nodes n ON n.tree = l.tree AND n.level < s.height
+             AND n.place // 8 = l.rank >> (3 * (n.level + 1))::INTEGER
+            GROUP BY ALL
+            UNION ALL
+            SELECT l.doc_id, l.rank, l.tree, s.height + t.level,
+                   string_agg(t.digest, '' ORDER BY t.place) FILTER (t.place < (s.rank >> (3 * t.level)::INTEGER)),
+                   string_agg(t.digest, '' ORDER BY t.place) FILTER (t.place > (s.rank >> (3 * t.level)::INTEGER))
+            FROM leaves l JOIN subroots s USING (tree)
+            JOIN tops t ON t.level < (SELECT max(level) FROM tops)
+             AND t.place // 8 = s.rank >> (3 * (t.level + 1))::INTEGER
+            GROUP BY ALL
+        ), folds AS (
+            SELECT tree, rank, 0 AS level, coalesce(altered, leaf) AS node FROM leaves
+            UNION ALL
+            SELECT f.tree, f.rank, f.level + 1, sha256(coalesce(s.before, '') || f.node || coalesce(s.after, ''))
+            FROM folds f JOIN steps s ON s.tree = f.tree AND s.id_rank = f.rank AND s.level = f.level
+        ), proofs AS (
+            SELECT tree, id_rank AS rank,
+                   sha256(string_agg(coalesce(before, '') || coalesce(after, ''), '' ORDER BY level)) AS proof
+            FROM steps GROUP BY ALL
+        )
+        SELECT l.doc_id, l.leaf, s.subroot, (SELECT arg_max(digest, level) FROM tops) AS root,
+               coalesce(p.proof, sha256('')) AS proof_sha256, d.node AS folded_root,
+               d.node = (SELECT arg_max(digest, level) FROM tops) AS verified
+        FROM leaves l JOIN subroots s USING (tree)
+        LEFT JOIN proofs p ON p.tree = l.tree AND p.rank = l.rank
+        JOIN (SELECT tree, rank, arg_max(node, level) AS node FROM folds GROUP BY ALL) d
+          ON d.tree = l.tree AND d.rank = l.rank
+    """,
 }
