@@ -6,9 +6,11 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakestrata.functions.text import quoted
+
 BATCH_BYTES = 2 << 20
 #: Labels are broadcast up to so many rows (some 30 MB).
 BROADCAST_LABELS = 1_000_000
@@ -175,3 +177,41 @@ def learning_labels(documents: DataFrame, labels: DataFrame, label: str, held_ou
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; null ids have none."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
+
+
+_POSITION_BITS = 33  # of monotonically_increasing_id; above them is the partition
+
+
+def ranked(rows: DataFrame, group: str, order: list[str], folder: str) -> DataFrame:
+    """`rows` with the `rank` (from 0) of each in its group by `order`, and the number of rows in the group as `of`.
+
+    Rows are dealt to range partitions by group, order and the place they were read
+    at, so that neither a large group nor equal rows meet in one task, written below
+    `folder` with their new place, and counted by partition and group. Nulls come
+    first; equal rows take neighbouring ranks in any order. `group` holds no nulls.
+    """
+    keys = [group, *order, "__place"]
+    (
+        rows.withColumn("__place", F.monotonically_increasing_id())
+        .repartitionByRange(*(quoted(k) for k in keys))
+        .sortWithinPartitions(*(quoted(k) for k in keys))
+        .withColumn("__place", F.monotonically_increasing_id())
+        .write.parquet(folder)
+    )
+    placed = rows.sparkSession.read.parquet(folder).withColumn("__part", F.shiftright("__place", _POSITION_BITS))
+    # A row for each pair of a partition and a group in it: at most partitions + groups.
+    counts = placed.groupBy(quoted(group), "__part").agg(
+        F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")
+    )
+    whole = Window.partitionBy(quoted(group))
+    earlier = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        F.col(quoted(group)).alias("__group"),
+        F.col("__part").alias("__own"),
+        (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
+        F.sum("__n").over(whole).alias("of"),
+    )
+    joined = placed.join(before, (F.col(quoted(group)) == F.col("__group")) & (F.col("__part") == F.col("__own")))
+    return joined.select(
+        *[placed[quoted(c)] for c in rows.columns], (F.col("__place") + F.col("__shift")).alias("rank"), "of"
+    )

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.llm.byte_bpe import bpe_round_trip
+from lakestrata.llm.collocations import collocations
 from lakestrata.llm.common import table
 from lakestrata.llm.exact_dedup import duplicate_groups
 from lakestrata.llm.merkle import manifest
@@ -74,6 +75,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_dedup,
         op10_quality,
         op11_merkle_manifest,
+        op12_collocations,
     )
 }
 
@@ -189,4 +195,52 @@ ORACLES: dict[str, str] = {
         JOIN (SELECT tree, rank, arg_max(node, level) AS node FROM folds GROUP BY ALL) d
           ON d.tree = l.tree AND d.rank = l.rank
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), worded AS (
+            SELECT lang, row_number() OVER () AS id,
+                   list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+            FROM pieces
+        ), placed AS (
+            SELECT lang, id, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM worded
+        ), nearby AS (
+            SELECT lang, w, lead(w, 1) OVER own AS w2, lead(w, 2) OVER own AS w3, lead(w, 3) OVER own AS w4
+            FROM placed WINDOW own AS (PARTITION BY id ORDER BY place)
+        ), runs AS (
+            SELECT lang, 1 AS m, w AS phrase FROM nearby
+            UNION ALL SELECT lang, 2, concat_ws(' ', w, w2) FROM nearby WHERE w2 IS NOT NULL
+            UNION ALL SELECT lang, 3, concat_ws(' ', w, w2, w3) FROM nearby WHERE w3 IS NOT NULL
+            UNION ALL SELECT lang, 4, concat_ws(' ', w, w2, w3, w4) FROM nearby WHERE w4 IS NOT NULL
+        ), f AS (
+            SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, m, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE m > 1 AND f >= 30
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.m, c.a, k.k, l.f AS l, r.f AS r,
+                   (2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f) AS score
+            FROM candidates c JOIN range(1, 4) k(k) ON k.k < c.m
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1 : k.k], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k.k + 1 :], ' ')
+        ), worst AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), covers AS (
+            SELECT lang, phrase, max(a) AS longer FROM (
+                SELECT c.lang, c.a, unnest(list_transform(range(1, c.m - k.k + 2),
+                                           lambda i: array_to_string(c.words[i : i + k.k - 1], ' '))) AS phrase
+                FROM candidates c JOIN range(2, 4) k(k) ON k.k < c.m)
+            GROUP BY ALL
+        ), ordered AS (
+            SELECT w.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM worst w LEFT JOIN covers USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+        FROM ordered JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
