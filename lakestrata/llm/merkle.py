@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
+from lakestrata.llm.common import ranked
 from lakestrata.session import work_folder
 
 #: Children of a node.
 FAN_OUT = 8
-_POSITION_BITS = 33  # of monotonically_increasing_id; above them is the partition
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,39 +33,6 @@ def _depth(n: Column) -> Column:
     return F.size(F.filter(powers, lambda p: p < n))
 
 
-def _ranked(nodes: DataFrame, order: list[str], folder: str) -> DataFrame:
-    """`nodes` (with a column `tree`) and the `rank` of each in its tree by `order`, and the tree's `depth`.
-
-    Rows are dealt to range partitions by tree, order and the place they were read
-    at, so that neither a large tree nor equal rows meet in one task, written with
-    their place, and counted by partition and tree.
-    """
-    spark = nodes.sparkSession
-    keys = ["tree", *order, "__place"]
-    (
-        nodes.withColumn("__place", F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("__place", F.monotonically_increasing_id())
-        .write.parquet(folder)
-    )
-    placed = spark.read.parquet(folder).withColumn("__part", F.shiftright("__place", _POSITION_BITS))
-    # A row for each pair of a partition and a tree in it; these are at most partitions + trees.
-    counts = placed.groupBy("tree", "__part").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy("tree").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
-        F.col("tree").alias("__tree"),
-        F.col("__part").alias("part"),
-        F.col("__first").alias("first"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("before"),
-        _depth(F.sum("__n").over(Window.partitionBy("tree"))).alias("depth"),
-    )
-    joined = placed.join(before, (F.col("tree") == F.col("__tree")) & (F.col("__part") == F.col("part")))
-    return joined.withColumn("rank", F.col("__place") - F.col("first") + F.col("before")).select(
-        *[quoted(c) for c in nodes.columns], "rank", "depth"
-    )
-
-
 def build(nodes: DataFrame, folder: str) -> DataFrame:
     """Trees over `nodes` (tree, rank, depth, digest): every `FAN_OUT` neighbours of a level become one.
 
@@ -106,9 +73,10 @@ def descend(starts: DataFrame, requests: DataFrame, folder: str) -> DataFrame:
     """The path from a tree's root to each requested leaf.
 
     `starts`: tree, depth, digest, path (what was collected above the root);
-    `requests`: tree, rank, depth. Returns tree, top (the tree's root), rank, digest
-    and path, the segments from the root down: what stands left and right of the
-    chosen child in its run.
+    `requests`: tree, rank, depth and columns of their own (none named like those
+    returned). Returns tree, top (the tree's root), rank, digest, path (the segments
+    from the root down: what stands left and right of the chosen child in its run)
+    and the requests' columns.
 
     All requests whose ranks agree in the digits so far walk together. At each
     level the record of their digest is looked up, the next digit picks a child,
@@ -125,37 +93,43 @@ def descend(starts: DataFrame, requests: DataFrame, folder: str) -> DataFrame:
         path = f"{folder}/asked={number}"
         below.select("tree", F.shiftright("rank", 3).alias("rank"), "depth").distinct().write.parquet(path)
         wanted.append(spark.read.parquet(path))
-    at_root = starts.withColumns({"rank": F.lit(0).cast("long"), "top": F.col("digest")})
+    own = [c for c in requests.columns if c not in ("tree", "rank", "depth")]
+    at_root = starts.select("tree", F.col("digest").alias("top"), F.lit(0).cast("long").alias("rank"), "digest", "path", "depth")
     columns = ["tree", "top", "rank", "digest", "path"]
     front = at_root.where(F.col("depth") == deepest).select(*columns)
     for number in range(deepest, 0, -1):
+        # The leaves' level brings the requests' own columns along.
+        more = own if number == 1 else []
         found = front.join(records(spark, folder, number), "digest").select("tree", "top", "rank", "path", "children")
-        asked = wanted[number - 1].where(F.col("depth") >= number)
+        asked = (requests if number == 1 else wanted[number - 1]).where(F.col("depth") >= number)
         asked = asked.select(
             F.col("tree").alias("__tree"),
             F.shiftright("rank", 3).alias("__parent"),
             F.col("rank").alias("__rank"),
             (F.col("rank") % FAN_OUT).cast("int").alias("__digit"),
+            *more,
         )
         children, digit = F.col("children"), F.col("__digit")
         left = F.array_join(F.slice(children, F.lit(1), digit), "")
         right = F.array_join(F.slice(children, digit + 2, F.lit(FAN_OUT)), "")
-        front = (
-            found.join(asked, (F.col("tree") == F.col("__tree")) & (F.col("rank") == F.col("__parent")))
-            .select(
-                "tree",
-                "top",
-                F.col("__rank").alias("rank"),
-                F.element_at(children, digit + 1).alias("digest"),
-                F.concat("path", F.array(F.struct(left.alias("left"), right.alias("right")))).alias("path"),
-            )
-            .unionAll(at_root.where(F.col("depth") == number - 1).select(*columns))
+        front = found.join(asked, (F.col("tree") == F.col("__tree")) & (F.col("rank") == F.col("__parent"))).select(
+            "tree",
+            "top",
+            F.col("__rank").alias("rank"),
+            F.element_at(children, digit + 1).alias("digest"),
+            F.concat("path", F.array(F.struct(left.alias("left"), right.alias("right")))).alias("path"),
+            *more,
         )
         if number > 1:
             path = f"{folder}/front={number - 1}"
-            front.write.parquet(path)
+            front.unionAll(at_root.where(F.col("depth") == number - 1).select(*columns)).write.parquet(path)
             front = spark.read.parquet(path)
-    return front
+    # A tree of one leaf: its root is the leaf.
+    alone = at_root.where(F.col("depth") == 0).select(*columns).join(
+        requests.where(F.col("depth") == 0).select(F.col("tree").alias("__tree"), *own), F.col("tree") == F.col("__tree")
+    )
+    alone = alone.select(*columns, *own)
+    return front.unionAll(alone) if deepest else alone
 
 
 def fold(leaf: Column, path: Column) -> Column:
@@ -199,38 +173,35 @@ def manifest(
         digest(*(field(v) for _, v in values)).alias("digest"),
         F.when(tampered, digest(*(field(v) for _, v in lowered))).alias("altered"),
     )
-    _ranked(leaves, ["doc_id", "digest"], f"{folder}/leaves").write.parquet(f"{folder}/ranked")
+    leaves = ranked(leaves, "tree", ["doc_id", "digest"], f"{folder}/leaves")
+    leaves.withColumn("depth", _depth(F.col("of"))).write.parquet(f"{folder}/ranked")
     leaves = spark.read.parquet(f"{folder}/ranked")
     build(leaves, f"{folder}/groups").write.parquet(f"{folder}/subroots")
     subroots = spark.read.parquet(f"{folder}/subroots")
 
     # The roots of all groups form the tree above them.
     top = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "digest", F.col("depth").alias("below"))
-    _ranked(top, ["group"], f"{folder}/top").write.parquet(f"{folder}/top-ranked")
+    top = ranked(top, "tree", ["group"], f"{folder}/top")
+    top.withColumn("depth", _depth(F.col("of"))).write.parquet(f"{folder}/top-ranked")
     top = spark.read.parquet(f"{folder}/top-ranked")
     root = build(top, f"{folder}/root").select("digest", "tree", "depth").first()
     none = F.array().cast("array<struct<left: string, right: string>>")
     start = spark.createDataFrame([root] if root else [], "digest string, tree string, depth int").withColumn("path", none)
-    reached = descend(start, top, f"{folder}/root")
-    starts = (
-        reached.select("rank", "path")
-        .join(top.select("rank", "group", "digest", "below"), "rank")
-        .select(F.col("group").alias("tree"), F.col("below").alias("depth"), "digest", "path")
-    )
+    reached = descend(start, top.select("tree", "rank", "depth", "group", "below"), f"{folder}/root")
+    starts = reached.select(F.col("group").alias("tree"), F.col("below").alias("depth"), "digest", "path")
     starts.write.parquet(f"{folder}/starts")
     starts = spark.read.parquet(f"{folder}/starts")
 
-    paths = descend(starts, leaves, f"{folder}/groups").select("tree", F.col("top").alias("subroot"), "rank", "path")
-    joined = leaves.join(paths, ["tree", "rank"])
+    paths = descend(starts, leaves.select("tree", "rank", "depth", "doc_id", "altered"), f"{folder}/groups")
     siblings = F.aggregate(
         F.reverse("path"), F.lit(""), lambda text, s: F.concat(text, s["left"], s["right"])
     )
     folded = fold(F.coalesce("altered", "digest"), F.col("path"))
     root = F.lit(root["digest"] if root else None).cast("string")
-    return joined.select(
+    return paths.select(
         "doc_id",
         F.col("digest").alias("leaf"),
-        "subroot",
+        F.col("top").alias("subroot"),
         root.alias("root"),
         digest(siblings).alias("proof_sha256"),
         folded.alias("folded_root"),
