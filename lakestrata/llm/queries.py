@@ -11,6 +11,7 @@ from lakestrata.llm.byte_bpe import bpe_round_trip
 from lakestrata.llm.collocations import collocations
 from lakestrata.llm.common import table
 from lakestrata.llm.exact_dedup import duplicate_groups
+from lakestrata.llm.fingerprints import fingerprints
 from lakestrata.llm.merkle import manifest
 from lakestrata.llm.near_dup import near_duplicates
 from lakestrata.llm.packing import pack_documents
@@ -79,6 +80,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality,
         op11_merkle_manifest,
         op12_collocations,
+        op13_fingerprints,
     )
 }
 
