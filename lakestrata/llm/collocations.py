@@ -19,11 +19,11 @@ from lakestrata.session import work_folder
 
 LONGEST = 4
 #: Bytes of text that are split into words at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Phrases, repeated ones too, that a task holds before it writes a summary or counts.
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 #: A hash partition of the phrases is to hold about the phrases of so much text.
-PART_BYTES = 24 << 20
+PART_BYTES = 12 << 20
 #: How far a summary's capacity exceeds mass / threshold: its error is below threshold / SLACK.
 SLACK = 2
 #: Bits of the filter for a phrase that survives, and for all of them together (64 MB).
@@ -361,7 +361,7 @@ def _count(known):
                 size += len(at)
             base += len(data)
             texts += len(langs)
-            if size > FLUSH // 2 or base > 16 * SLICE:
+            if size > FLUSH // 2 or base > 32 * SLICE:
                 yield counted()
                 held, size, base, texts = [], 0, 0, 0
         if held:
