@@ -1,0 +1,178 @@
+"""Phrase mining against plain counting."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from lakestrata.llm import collocations as C
+from lakestrata.llm.collocations import MisraGries, collocations
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def plain_runs(text):
+    for piece in re.split(r"[.,;:!?\x0a-\x0d]", lowered(text)):
+        words = re.findall(r"[^\x20\x09]+", piece)
+        for n in range(1, 5):
+            for i in range(len(words) - n + 1):
+                yield tuple(words[i : i + n])
+
+
+def plain_collocations(rows, threshold=30, top=2000):
+    f, n = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        for run in plain_runs(text):
+            f[lang or "und" if lang is None else lang][run] += 1
+            n["und" if lang is None else lang] += len(run) == 1
+    out = []
+    for lang, own in f.items():
+        often = {p: a for p, a in own.items() if len(p) > 1 and a >= threshold}
+        hidden = set()
+        for p, a in often.items():
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    if 100 * a >= 80 * often[p[i : i + m]]:
+                        hidden.add(p[i : i + m])
+        kept = []
+        for p, a in often.items():
+            if p not in hidden:
+                cuts = [(2_000_000 * a // (own[p[:k]] + own[p[k:]]), k) for k in range(1, len(p))]
+                score, k = min(cuts)
+                kept.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+def some_rows(seed, n, langs=("en", "de", None)):
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "é漢", "x" * 70, "ab", "New York", "a\tb c", "on top of", "set phrase here now"]
+    ends = [" ", "  ", " ", " ", "\t", ", ", ".\n", "-", " ", "\x0b"]
+    rows = []
+    for _ in range(n):
+        size = rng.choice([0, 1, 3, 30, 200])
+        text = "".join(rng.choice(words) + rng.choice(ends) for _ in range(size))
+        rows.append((text if size else rng.choice([None, ""]), rng.choice(langs)))
+    return rows
+
+
+@pytest.mark.parametrize("size", [10, 37, 200, 5000, 1 << 20])
+def test_runs_do_not_depend_on_slices(size):
+    rows = [((t or "").encode(), lang or "und") for t, lang in some_rows(1, 40)]
+    rows += [(b"z" * 3000, "en"), (b"z" * 3000 + b" y " + b"q" * 5000 + b" a b c d," + b"w" * 100, "en"), (b" ., \n", "en")]
+    wanted, got, hashes = Counter(), Counter(), {}
+    for text, lang in rows:
+        wanted.update((lang, " ".join(run).encode()) for run in plain_runs(text.decode()))
+    for data, ends, langs, skip in C.slices(rows, size):
+        words = C.Words(data, ends)
+        for which in (0, 1):
+            for n, at, found in words.runs(C._lang_hashes(langs, which), which, skip):
+                for i, value in zip(at.tolist(), found.tolist(), strict=True):
+                    phrase = b" ".join(data[words.starts[i] : words.stops[i + n - 1]].split())
+                    got[langs[words.texts[i]], phrase] += which == 0
+                    assert hashes.setdefault((which, langs[words.texts[i]], phrase), value) == value
+    assert got == wanted
+    assert len(set(hashes.values())) == len(hashes) == 2 * len(wanted)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_no_frequent_key_is_lost(seed):
+    """Whatever the order and the size of the summaries that are merged."""
+    rng = np.random.default_rng(seed)
+    keys = np.concatenate([rng.integers(0, 1 << 32, 400_000), np.repeat(rng.integers(0, 1 << 32, 50), 30), rng.zipf(1.3, 99_000) % 99_991])
+    rng.shuffle(keys)
+    kinds, counts = np.unique(keys, return_counts=True)
+    often = set(kinds[counts >= 30].tolist())
+    summary = MisraGries(C.SLACK * len(keys) // 30 + 1)
+    for part in np.array_split(keys, rng.integers(2, 90)):
+        own, found = np.unique(part, return_counts=True)
+        summary.add(own, found)
+        summary.merge()
+        assert len(summary.held[0]) <= summary.capacity
+    left = set(summary.at_least(30).tolist())
+    assert often <= left and summary.error < 30 / C.SLACK
+    assert len(left) < len(often) + 2000
+    small = MisraGries(3)
+    small.add(np.arange(5, dtype=np.uint64), np.array([5, 1, 4, 1, 9]))
+    assert (sorted(small.at_least(9).tolist()), small.error) == ([4], 1)
+
+
+def test_summary_rows():
+    cells = C.cells(np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2), 7)
+    cells = np.concatenate([cells, cells[:100]])
+    (batch,) = C.summaries([cells[:3000], cells[3000:]], 7)
+    mass = {r["part"]: r["mass"] for r in batch.to_pylist() if r["kind"] == 0}
+    assert sum(mass.values()) == 5100 and sorted(mass) == list(range(7))
+    for r in batch.to_pylist():
+        if r["kind"] == 1:
+            own = cells[cells >> np.uint64(32) == r["part"]] & np.uint64(0xFFFFFFFF)
+            kinds, counts = np.unique(own, return_counts=True)
+            assert (np.cumsum(C.unplanes(r["keys"]), dtype=np.uint64) == kinds).all()
+            assert (C.unplanes(r["counts"]) == counts).all() and mass[r["part"]] == len(own)
+
+
+def test_the_filter_passes_all_survivors():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 1 << 63, 20_000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    cells = C.cells(hashes[:2000], 5)
+    blooms = {p: C.bloom(cells[cells >> np.uint64(32) == p] & np.uint64(0xFFFFFFFF), 1 << 20).tobytes() for p in range(4)}
+    passed = set(C.Filter(blooms, 5)(hashes).tolist())
+    inside = {i for i in range(2000) if cells[i] >> np.uint64(32) < 4}
+    assert inside <= passed and len(passed - inside) < 200
+
+
+SCHEMA = "text string, lang string"
+
+
+def found(df, **options):
+    columns = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    result = collocations(df, **options)
+    assert result.columns == columns
+    return sorted(tuple(r) for r in result.collect())
+
+
+def test_collocations(spark):
+    rows = some_rows(7, 300)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    wanted = plain_collocations(rows)
+    assert found(df) == wanted and {r[0] for r in wanted} == {"en", "de", "und"}
+    assert found(df, top=3) == plain_collocations(rows, top=3)
+    assert found(df, threshold=200) == plain_collocations(rows, threshold=200)
+
+
+def test_small_flushes_and_many_partitions(spark, monkeypatch):
+    """The constants that bound a task do not change the result."""
+    rows = some_rows(9, 200)
+    monkeypatch.setattr(C, "PART_BYTES", 2000)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert found(df) == plain_collocations(rows)
+
+
+def test_a_hot_language_and_repeated_rows(spark, with_conf):
+    rows = [("Over and over again, the same", None)] * 400 + some_rows(4, 100, ("en", "", "und"))
+    with_conf(spark__sql__shuffle__partitions="16", spark__sql__adaptive__enabled="false")
+    assert found(spark.createDataFrame(rows, SCHEMA)) == plain_collocations(rows)
+
+
+def test_long_texts(spark):
+    rows = [("on top of that " * 200_000, "en"), ("w" * 3_000_000 + " on top of that", "en"), ("q" * 2_000_000, None)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == plain_collocations(rows)
+
+
+def test_nothing_frequent(spark, odd_documents, no_documents, clashing):
+    assert found(odd_documents.withColumn("lang", odd_documents.text)) is not None
+    assert found(no_documents) == []
+    assert found(spark.createDataFrame([(None, None), ("", "en"), ("one two", "en")], SCHEMA)) == []
+    df = spark.createDataFrame([("a b", "en")] * 30, SCHEMA).selectExpr("*", *(f"'x' as `{c}`" for c in clashing))
+    assert found(df) == [("en", 1, "a b", 30, 30, 30, 60, 1_000_000)]
+
+
+def test_rows_of_every_batch():
+    batch = pa.RecordBatch.from_pydict({"text": ["A b", "é"], "lang": ["en", "fr"]})
+    assert list(C._rows([batch])) == [(b"A b", "en"), ("é".encode(), "fr")]
