@@ -7,7 +7,7 @@ from lakestrata.plans.bank import (
     delivery_table_job,
     suite_for,
 )
-from lakestrata.plans.delivery import deliver_job, export_jdbc_job
+from lakestrata.plans.delivery import deliver_files_job, deliver_job, export_jdbc_job
 from lakestrata.plans.taxi import (
     GOLD_COLUMNS,
     ROUTES,
@@ -31,6 +31,7 @@ __all__ = [
     "SILVER_YEARS",
     "clean_source",
     "clean_source_job",
+    "deliver_files_job",
     "deliver_job",
     "delivery_table",
     "delivery_table_job",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
+from lakestrata.sinks.sizing import deal_by_size
+from lakestrata.sinks.versions import write_version
 
 
 def cluster_for_write(df: DataFrame, partition_by: str) -> DataFrame:
@@ -32,15 +34,36 @@ def write_layer(
     clustered: bool = False,
     overwrite_partitions: str = "static",
     max_records_per_file: int = 0,
+    versioned: bool = False,
+    file_bytes: int | None = None,
 ) -> None:
     """Overwrite a parquet dataset, optionally partitioned by one column.
 
     `clustered=True` says the rows already come grouped by the partition column
     (for instance from a dataset partitioned by it) and writes without a
     shuffle. `overwrite_partitions="dynamic"` replaces only the partitions that
-    occur in `df`; "static" replaces the whole dataset.
+    occur in `df`; "static" replaces the whole dataset. `versioned=True` writes a
+    new version of the dataset beside the old one, which stays readable until the new
+    one is complete; `read_layer` reads the newest, `drop_versions` deletes others.
+
+    `file_bytes` plans the files of a partitioned dataset: the bytes of each value are summed first,
+    small values packed into tasks, and large ones split into files of about that
+    size before compression. That is a second run of the plan of `df`: store a long one first.
     """
-    if partition_by is not None and not clustered:
+    if versioned:
+        if overwrite_partitions != "static":
+            raise ValueError("a version is the whole dataset: overwrite_partitions must be static")
+        options = {
+            "partition_by": partition_by,
+            "clustered": clustered,
+            "max_records_per_file": max_records_per_file,
+            "file_bytes": file_bytes,
+        }
+        write_version(df.sparkSession, path, lambda folder: write_layer(df, folder, **options))
+        return
+    if partition_by is not None and file_bytes is not None:
+        df = deal_by_size(df, partition_by, file_bytes)
+    elif partition_by is not None and not clustered:
         df = cluster_for_write(df, partition_by)
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     if partition_by is not None:

@@ -7,6 +7,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lakestrata.sinks.versions import current_folder
+
 
 def read_delimited(
     spark: SparkSession,
@@ -35,11 +37,14 @@ def read_delimited(
 def read_layer(
     spark: SparkSession, path: str, *, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """A parquet dataset of one layer; a partition date in its path comes back as a date."""
+    """A parquet dataset of one layer; a partition date in its path comes back as a date.
+
+    Of a dataset with versions it is the newest.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(current_folder(spark, path) or path)
 
 
 def preview(spark: SparkSession, path: str, lines: int = 20) -> DataFrame:

@@ -1,0 +1,87 @@
+"""Files planned by the bytes of partition values."""
+
+import glob
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata.sinks import write_layer
+from lakestrata.sinks.sizing import FILE_BYTES, deal_by_size, pack_values, row_bytes
+from lakestrata.sources import read_layer
+
+MB = 1 << 20
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_packing(seed):
+    rng = random.Random(seed)
+    sizes = [(i, int(rng.paretovariate(1) * MB)) for i in range(rng.choice([1, 30, 500]))]
+    target = 64 * MB
+    shares, tasks = pack_values(sizes, target)
+    assert sorted(s.value for s in shares) == [v for v, _ in sizes]
+    load = [0] * tasks
+    for s in shares:
+        size = dict(sizes)[s.value] + FILE_BYTES
+        assert s.tasks == (1 if size <= target else -(-size // target))
+        for task in range(s.first, s.first + s.tasks):
+            load[task] += size / s.tasks
+    assert 0 < min(load) and max(load) <= target
+    # No two tasks of small values could be one.
+    total = sum(size + FILE_BYTES for _, size in sizes)
+    assert tasks <= 2 * total / target + 1
+    assert pack_values([], target) == ([], 0)
+
+
+def test_row_bytes(spark):
+    df = spark.sql("select 1 a, 'xyz' b, cast(null as string) c, cast(2 as bigint) d, array(1, 2) e, date'2024-01-01' day")
+    assert df.select(row_bytes(df, "day")).first()[0] == 4 + 7 + 4 + 8 + len('{"e":[1,2]}')
+
+
+def files(path):
+    return {
+        os.path.relpath(f, path).split("/")[0]: n
+        for f in glob.glob(f"{path}/*/*.parquet")
+        for n in [len(glob.glob(f"{os.path.dirname(f)}/*.parquet"))]
+    }
+
+
+def test_a_hot_date_is_split_and_small_ones_share_tasks(spark, tmp_path):
+    """A third of the rows have one date and are equal; some dates are missing."""
+    df = spark.range(0, 90_000, 1, 60).select(
+        F.when(F.col("id") % 3 == 0, F.expr("date'2024-01-01'"))
+        .when(F.col("id") % 100 != 1, F.expr("date_add(date'2024-01-02', cast(id % 40 as int))"))
+        .alias("day"),
+        F.when(F.col("id") % 3 == 0, F.lit("x" * 300)).otherwise(F.concat(F.lit("y" * 290), F.col("id"))).alias("v"),
+    )
+    path, target = str(tmp_path / "layer"), FILE_BYTES + 2 * MB
+    write_layer(df, path, partition_by="day", file_bytes=target)
+    found = files(path)
+    hot = found.pop("day=2024-01-01")
+    assert hot == -(-(30_000 * 304 + FILE_BYTES) // target) and set(found.values()) == {1}
+    assert "day=__HIVE_DEFAULT_PARTITION__" in found and len(found) == 41
+    rows = [spark.read.parquet(f).count() for f in glob.glob(f"{path}/day=2024-01-01/*.parquet")]
+    assert max(rows) < 2 * 30_000 / hot
+    got = read_layer(spark, path)
+    assert got.select("day", "v").exceptAll(df).isEmpty() and got.count() == 90_000
+
+
+def test_as_planned_by_task(spark):
+    df = spark.range(1000).selectExpr("id", "id % 50 k")
+    dealt = deal_by_size(df, "k", FILE_BYTES * 10 + MB)
+    placed = dealt.withColumn("task", F.spark_partition_id())
+    tasks = placed.groupBy("k").agg(F.count_distinct("task").alias("n"))
+    assert dealt.columns == ["id", "k"] and dealt.rdd.getNumPartitions() == 5
+    assert {r.n for r in tasks.collect()} == {1}
+
+
+def test_odd_tables(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    empty = spark.createDataFrame([], "a string, `d ay` date")
+    write_layer(empty, path, partition_by="d ay", file_bytes=64 * MB)
+    df = spark.sql("select map('a', 1) m, named_struct('x', 1) s, cast(null as string) `d ay`")
+    write_layer(df, path, partition_by="d ay", file_bytes=64 * MB, versioned=True)
+    assert read_layer(spark, path).count() == 1
+    with pytest.raises(ValueError, match="cost more"):
+        write_layer(df, path, partition_by="d ay", file_bytes=100)
