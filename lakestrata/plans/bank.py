@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata import storage
 from lakestrata.functions import clean_entity_name, normalize_columns, normalize_values
 from lakestrata.functions.naming import normalize_name
 from lakestrata.operators import aggregate, join_entities, union_by_name
@@ -26,7 +28,7 @@ from lakestrata.quality import (
     write_dq_report,
 )
 from lakestrata.sinks import write_layer
-from lakestrata.sources import read_delimited, read_layer
+from lakestrata.sources import read_delimited, read_layer, stage_delimited
 
 
 @dataclass(frozen=True)
@@ -93,11 +95,11 @@ def clean_source_job(
     """Clean one delimited source into `target` and file its quality report.
 
     With `on_failure="record"` row checks ride on the write and key checks read
-    the written layer, so the source is read once (twice if its types are
-    inferred), and data is written whatever they find. With "raise" they run
-    first, and a failure leaves `target` as it was. `text_columns` (normalised
-    names) stay text where types are inferred, so that a key keeps its leading
-    zeros. Returns the report.
+    the written layer, and data is written whatever they find. With "raise" they
+    run first, and a failure leaves `target` as it was. The text is parsed once: where
+    types are inferred it goes to a copy beside `target` first, which is deleted at the
+    end. `text_columns` (normalised names) stay text where types are inferred, so
+    that a key keeps its leading zeros. Returns the report.
     """
     if on_failure not in ("record", "raise"):
         raise ValueError('on_failure is "record" or "raise"')
@@ -105,30 +107,43 @@ def clean_source_job(
     known = BANK_SOURCES.get(table)
     if known is None and None in (separator, encoding, entity_column):
         raise ValueError(f"give separator, encoding and entity_column for the table {table}")
-    raw = read_delimited(
-        spark,
-        source,
-        separator=known.separator if separator is None else separator,
-        encoding=known.encoding if encoding is None else encoding,
-        schema=schema,
-        infer=infer,
-    )
-    kept_text = [f.name for f in raw.schema if normalize_name(f.name, legacy_upper_o) in text_columns]
-    if schema is None and infer and any(raw.schema[c].dataType != T.StringType() for c in kept_text):
-        fields = [T.StructField(f.name, T.StringType()) if f.name in kept_text else f for f in raw.schema]
-        raw = read_delimited(
-            spark,
-            source,
-            separator=known.separator if separator is None else separator,
-            encoding=known.encoding if encoding is None else encoding,
-            schema=T.StructType(fields),
-        )
-    clean = clean_source(
-        raw, known.entity_column if entity_column is None else entity_column, legacy_upper_o
-    )
+    reading = {
+        "separator": known.separator if separator is None else separator,
+        "encoding": known.encoding if encoding is None else encoding,
+    }
+    column = known.entity_column if entity_column is None else entity_column
     suite = suite_for(table) if suite is None else suite
-    rowwise = [e for e in suite if not e.unique_key]
-
+    staging = made = None
+    try:
+        if schema is None and infer:
+            folder = target.rstrip("/").rpartition("/")[0]
+            made = folder if folder and not storage.exists(spark, folder) else None
+            staging = f"{target.rstrip('/')}.staged-{uuid.uuid4().hex}"
+            raw = stage_delimited(
+                spark, source, staging, keep_text=lambda h: normalize_name(h, legacy_upper_o) in text_columns, **reading
+            )
+        else:
+            raw = read_delimited(spark, source, schema=schema, infer=False, **reading)
+        clean = clean_source(raw, column, legacy_upper_o)
+        return _checked_write(clean, target, report, run_date, table, suite, on_failure)
+    finally:
+        if staging is not None:
+            storage.delete(spark, staging)
+        if made is not None and not storage.children(spark, made):
+            storage.delete(spark, made)
+
+
+def _checked_write(
+    clean: DataFrame,
+    target: str,
+    report: str,
+    run_date: datetime.date,
+    table: str,
+    suite: Sequence[Expectation],
+    on_failure: str,
+) -> DataFrame:
+    """Write the cleaned rows, check them on the way (or before, to refuse them) and file the report."""
+    spark = clean.sparkSession
     if on_failure == "raise":
         outcome = run_suite(clean, suite, table)
         write_dq_report(outcome, report, run_date)
@@ -138,6 +153,7 @@ def clean_source_job(
         write_layer(clean, target)
         return filed
 
+    rowwise = [e for e in suite if not e.unique_key]
     watch = watch_suite(clean, rowwise, table)
     write_layer(watch.df, target)
     reports = [watch.report()] if rowwise else []

@@ -16,9 +16,16 @@ from lakestrata.plans import (
     silver_job,
 )
 from lakestrata.quality import expect_length_equal, expect_unique_key, read_dq_report, write_dq_report
-from lakestrata.queries import quality, tables as t
+from lakestrata.queries import bank, quality, tables as t
 from lakestrata.session import work_folder
-from lakestrata.sinks import write_delimited, write_layer
+from lakestrata.sinks import (
+    create_delivery,
+    deliver_load,
+    drop_versions,
+    read_delivery,
+    write_delimited,
+    write_layer,
+)
 from lakestrata.sources import (
     concat_by_name,
     land_recursive,
@@ -27,6 +34,7 @@ from lakestrata.sources import (
     preview,
     read_delimited,
     read_layer,
+    stage_delimited,
 )
 
 _DAY = datetime.date(2024, 3, 5)
@@ -325,6 +333,57 @@ def taxi_files(spark, sf_dir):
     return read_layer(spark, os.path.join(root, "gold"))
 
 
+def typed_in_one_parse(spark, sf_dir):
+    """Delimited text with its types, from one parse."""
+    root = work_folder(spark, "one-parse")
+    orders = t.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "o_orderkey * 1000000000 as far_key",
+        "o_totalprice",
+        "to_date(o_orderdate) as day",
+        "o_orderkey % 2 = 0 as even",
+        "if(o_orderkey % 3 = 0, o_orderpriority, string(o_orderkey)) as mixed",
+        "if(o_orderkey % 5 = 0, null, o_custkey) as customer",
+    )
+    write_delimited(orders, f"{root}/text", header=True)
+    return stage_delimited(spark, f"{root}/text", f"{root}/staged", separator=";")
+
+
+def delivered_twice(spark, sf_dir):
+    """The delivery table in two loads, of which one runs again: each row once."""
+    root = work_folder(spark, "delivered")
+    rows = bank.deliver_rows(spark, sf_dir)
+    write_layer(rows, f"{root}/rows")
+    rows = read_layer(spark, f"{root}/rows")
+    target = f"{root}/table"
+    create_delivery(target, key=None)
+    # The test tables give names to several banks, so that no column is a key.
+    first = F.pmod(F.xxhash64("nome_banco"), F.lit(2)) == 0
+    for load_id, part in (("first", rows.where(first)), ("second", rows.where(~first)), ("first", rows.where(first))):
+        deliver_load(part, target, load_id)
+    return read_delivery(spark, target)
+
+
+def replaced_layer(spark, sf_dir):
+    """A layer whose next version was made from it and replaced it."""
+    path = work_folder(spark, "versions")
+    orders = t.table(spark, sf_dir, "orders")
+    write_layer(orders.where("o_orderkey % 2 = 0"), path, versioned=True)
+    write_layer(read_layer(spark, path).unionByName(orders.where("o_orderkey % 2 = 1")), path, versioned=True)
+    drop_versions(spark, path)
+    return read_layer(spark, path)
+
+
+def sized_partitions(spark, sf_dir):
+    """Orders by year, in files planned by size; every seventh has no year."""
+    path = work_folder(spark, "sized")
+    orders = t.table(spark, sf_dir, "orders").selectExpr(
+        "*", "if(o_orderkey % 7 = 0, null, year(o_orderdate)) as order_year"
+    )
+    write_layer(orders, path, partition_by="order_year", file_bytes=8 << 20)
+    return read_layer(spark, path)
+
+
 QUERIES = {
     "read_delimited": delimited_round_trip,
     "write_delimited": headerless_round_trip,
@@ -350,6 +409,10 @@ QUERIES = {
     "clean_source_key_report": clean_source_key_report,
     "delivery_table_files": delivery_files,
     "taxi_layers_files": taxi_files,
+    "infer_one_parse": typed_in_one_parse,
+    "deliver_files": delivered_twice,
+    "write_layer_versioned": replaced_layer,
+    "write_layer_sized": sized_partitions,
 }
 
 _KEYS_AS_TEXT = "select * replace (cnpj::varchar as cnpj) from ({})"
@@ -462,4 +525,15 @@ select * from ({t.GREEN_SILVER_SQL}) where year(lpep_dropoff_datetime) between 1
     ),
     "delivery_table_files": _KEYS_AS_TEXT.format(t.DELIVERY_SQL),
     "taxi_layers_files": t.GOLD_SQL,
+    "infer_one_parse": """
+select o_orderkey::int as o_orderkey, o_orderkey * 1000000000 as far_key, o_totalprice, o_orderdate::date as day,
+       o_orderkey % 2 = 0 as even,
+       case when o_orderkey % 3 = 0 then o_orderpriority else o_orderkey::varchar end as mixed,
+       case when o_orderkey % 5 = 0 then null else o_custkey::int end as customer
+from orders""",
+    "deliver_files": bank.ORACLES["deliver_positional"],
+    "write_layer_versioned": "select * from orders",
+    "write_layer_sized": """
+select *, case when o_orderkey % 7 = 0 then null else year(o_orderdate)::int end as order_year
+from orders""",
 }

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 from lakestrata.functions.text import quoted
 from lakestrata.operators.unify import union_by_name
 from lakestrata.sources.files import list_files
+from lakestrata.sources.footers import file_schemas
 
 _PARTITION = r"^(.*?)/[^/=]+=[^/]*/"
 
@@ -71,8 +70,15 @@ def _merged(spark, paths, glob, keep, provenance, schema, base, deep=True) -> Da
     except (PySparkException, Py4JJavaError) as error:
         if not _cannot_merge(error):
             raise
-    groups = _files_by_schema(spark, list_files(spark, paths, glob), keep)
-    parts = [_read(spark, files, "*", None, provenance, found, base, False) for found, files in groups]
+    files = list_files(spark, paths, glob)
+    if keep is not None:
+        files = files.where(keep(F.col("file_name")))
+    parts = []
+    for found in file_schemas(files):
+        if found.folders:
+            parts.append(_read(spark, found.folders, glob, keep, provenance, found.schema, base, False))
+        if found.files:
+            parts.append(_read(spark, found.files, "*", None, provenance, found.schema, base, False))
     return union_by_name(*parts)
 
 
@@ -105,24 +111,3 @@ def _decoded(name: Column) -> Column:
     """Spark gives file names percent-encoded, with a plus sign as it is."""
     protected = F.replace(name, F.lit("+"), F.lit("%2B"))
     return F.when(name.contains("%"), F.url_decode(protected)).otherwise(name)
-
-
-def _files_by_schema(
-    spark: SparkSession, files: DataFrame, keep: Callable[[Column], Column] | None
-) -> list[tuple[T.StructType, list[str]]]:
-    """The different schemas and the files of each; only reached when types conflict.
-
-    Spark opens one footer a file, through its own file systems. The driver holds
-    the paths, as it does for any scan of them.
-    """
-    if keep is not None:
-        files = files.where(keep(F.col("file_name")))
-    paths = [r.file_path for r in files.select("file_path").toLocalIterator()]
-    with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
-    groups: dict[str, list[str]] = defaultdict(list)
-    kinds = {}
-    for path, found in zip(paths, schemas, strict=True):
-        kinds[found.json()] = found
-        groups[found.json()].append(path)
-    return [(kinds[k], sorted(groups[k])) for k in sorted(groups)]
