@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 
 _SPAN = 1 << 16
+_SLICE = 1 << 18
+_BLANK = re.compile("[ \n]")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(_SPAN)], np.uint64)
 #: Scripts written without blanks between words: their characters are words.
@@ -72,15 +76,34 @@ def word_hashes(text: str) -> np.ndarray:
     Words are runs of Unicode letters, numbers, underscores and the marks on them;
     in scripts written without blanks each letter with its marks is a word. A text
     without any is taken as runs of visible characters. An empty or blank text has
-    no words.
+    no words. A long text is worked through in slices that end at a blank, so that
+    memory does not follow its length.
     """
+    found = [_hashes(part, True) for part in _slices(text)]
+    if not sum(map(len, found)):
+        found = [_hashes(part, False) for part in _slices(text)]
+    return found[0] if len(found) == 1 else np.concatenate(found)
+
+
+def _slices(text: str) -> Iterator[str]:
+    """The text in parts of about `_SLICE` characters, each from a blank on; a longer run without one is not cut."""
+    start = 0
+    while len(text) - start > _SLICE:
+        blank = _BLANK.search(text, start + _SLICE)
+        if blank is None:
+            break
+        yield text[start : blank.start()]
+        start = blank.start()
+    yield text[start:]
+
+
+def _hashes(text: str, words: bool) -> np.ndarray:
+    """Hashes of the words of a text, or of its runs of visible characters."""
     text = text.lower()
     plain = text.isascii()
     data = np.frombuffer(text.encode("ascii") if plain else text.encode("utf-32-le", "replace"), np.uint8 if plain else "<u4")
     kinds = _kinds()[data if plain else np.minimum(data, _LAST)]
-    inside = (kinds > 0) & (kinds < _VISIBLE)
-    if not inside.any():
-        inside = kinds > 0
+    inside = (kinds > 0) & (kinds < _VISIBLE) if words else kinds > 0
     at = np.flatnonzero(inside)
     if not len(at):
         return np.empty(0, np.uint64)

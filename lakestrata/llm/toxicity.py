@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,15 @@ PASSAGE = 3
 BLOCK = 64
 #: What chooses the block of a learning text that the last step is fitted to: its two passages.
 EVIDENCE = np.array([1.0, 1.0, 0.0, 0.0])
-#: What each class's counts lose to the shared backoff.
+#: What each class's counts lose to the shared backoff where nothing else is said, and what the learning texts choose from.
 DISCOUNT = 3.0
-#: Labelled rows, about, that the last step is fitted to.
+DISCOUNTS = (1.0, 2.0, 3.0, 4.0, 5.0)
+#: The least of these discounts is taken whose loss is at most so much above the best one's.
+TOLERANCE = 0.02
+#: Labelled rows, about, that the last step is fitted to, unless the caller says otherwise.
 FIT_ROWS = 20_000
+#: Pairs of words that a task holds before it hands them on.
+_HELD_PAIRS = 1 << 18
 _CONTEXT_BITS = 40
 
 
@@ -52,17 +57,27 @@ class KneserNey:
     discounted in the same way against a uniform one. The discount of a class is
     large enough that a word which it has seen a few times only by chance is left
     to the counts that the classes share: both then differ by a constant, the
-    ratio of the masses, and more only where a class has real evidence.
+    ratio of the masses, and more only where a class has real evidence. How large
+    that is depends on the number of texts, so it is chosen by leaving each
+    learning text out in turn.
     """
 
     toxic: np.ndarray
     ordinary: np.ndarray
     shared: np.ndarray
+    discount: float = DISCOUNT
 
     def __post_init__(self) -> None:
         found = [int((self.shared == i).sum()) for i in (1, 2)]
         one = found[0] / max(1, found[0] + 2 * found[1])  # the Kneser-Ney estimate
-        self.laws = [self._law(self.toxic, DISCOUNT), self._law(self.ordinary, DISCOUNT), self._law(self.shared, one)]
+        self.laws = [
+            self._law(self.toxic, self.discount),
+            self._law(self.ordinary, self.discount),
+            self._law(self.shared, one),
+        ]
+
+    def with_discount(self, discount: float) -> KneserNey:
+        return replace(self, discount=discount)
 
     @staticmethod
     def _law(counts: np.ndarray, discount: float) -> tuple[float, float, float]:
@@ -83,8 +98,13 @@ class KneserNey:
         )
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        a, b = self.log_shares(self.toxic, self.ordinary, self.shared)
-        return a.astype(np.float32), b.astype(np.float32)
+        """Both log-probabilities of every cell, made a part at a time."""
+        made = np.empty(len(self.shared), np.float32), np.empty(len(self.shared), np.float32)
+        for i in range(0, len(self.shared), 1 << 18):
+            part = slice(i, i + (1 << 18))
+            for table, found in zip(made, self.log_shares(self.toxic[part], self.ordinary[part], self.shared[part]), strict=True):
+                table[part] = found
+        return made
 
     def without(self, cells: np.ndarray, pairs: np.ndarray, toxic: bool) -> tuple[np.ndarray, np.ndarray]:
         """Log-probabilities of a learning text's words as if the model had not seen that text."""
@@ -162,7 +182,7 @@ def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mask = 1 if label else 2
             held[mask].append(np.unique(word_pairs(text.as_py())[1]))
             sizes[mask] += len(held[mask][-1])
-            if sizes[mask] > 1 << 22:
+            if sizes[mask] > _HELD_PAIRS:
                 yield rows(held[mask], mask)
                 held[mask], sizes[mask] = [], 0
     for mask, found in held.items():
@@ -195,12 +215,13 @@ def learn_counts(learning: DataFrame) -> KneserNey:
     return KneserNey(**counts)
 
 
-#: The model a worker used last, and its tables.
-_last: list = [None, None]
-
-
 def score_toxicity(
-    documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
+    documents: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, toxic_ll, ordinary_ll.
 
@@ -209,8 +230,10 @@ def score_toxicity(
     texts as Spark aggregates; the counts land in a fixed number of cells. A text
     is compared by its log-likelihoods in both classes block by block, each as a
     whole and in its most toxic passages; a logistic step, fitted to the worst blocks
-    of about 20,000 learning texts each scored as if the model had not seen it, rates
-    the blocks, and the highest is the text's score, whatever its length.
+    of about `fit_rows` learning texts each scored as if the model had not seen it, rates
+    the blocks, and the highest is the text's score, whatever its length. The same
+    texts choose the discount of the classes. Counts cover all learning texts; only this
+    step is fitted to a sample, of which each class has half as far as it has texts.
 
     Null texts are empty; a text without words gets the score of no evidence, and
     log-likelihoods of 0. Documents without an id are held out. If the labels
@@ -233,17 +256,14 @@ def score_toxicity(
     model = learn_counts(learning)
     weights = None
     if model.toxic.any() and model.ordinary.any():
-        known = spark.sparkContext.broadcast(model)  # 48 MB at most
-        share = min(1.0, FIT_ROWS / max(1, labels.count()))
-        weights = _fit(learning, known, share)
+        model, weights = _fit(learning, model, fit_rows)
+        # What scoring reads, 32 MB; the counts stay behind.
+        known = spark.sparkContext.broadcast(model.tables())
+    del model
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = None
-        if weights is not None:
-            if _last[0] is not known.value:
-                _last[:] = known.value, known.value.tables()
-            tables = _last[1]
+        tables = known.value if weights is not None else None
         for batch in batches:
             rows = []
             for text in texts_of(batch, text_col):
@@ -276,22 +296,47 @@ def score_toxicity(
     return source.mapInArrow(score, schema)
 
 
-def _fit(learning: DataFrame, known, share: float) -> np.ndarray | None:
-    """The logistic step, from the features of a share of the learning texts (4 numbers each)."""
+def log_loss(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> float:
+    z = x @ weights[:-1] + weights[-1]
+    return float((np.logaddexp(0, z) - y * z).mean())
+
+
+def _fit(learning: DataFrame, model: KneserNey, fit_rows: int) -> tuple[KneserNey, np.ndarray]:
+    """The discount and the logistic step, from the features of a sample of the learning texts.
+
+    Each class is sampled by its own share, so a rare one is not missed; the driver gets 4
+    numbers for each text and discount.
+    """
+    counts = {r.label: r.n for r in learning.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    least = min(counts.values())
+    if least > fit_rows // 2:
+        wanted = dict.fromkeys(counts, fit_rows // 2)
+    else:
+        wanted = {label: n if n == least else fit_rows - least for label, n in counts.items()}
+    shares = {label: max(1, int(min(1.0, wanted[label] / n) * (1 << 20))) for label, n in counts.items()}
+    known = learning.sparkSession.sparkContext.broadcast([model.with_discount(d) for d in DISCOUNTS])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = known.value
+        models = known.value
         for batch in batches:
             rows = []
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 cells, pairs = word_pairs(text.as_py())
-                rows.append([*worst_block(*model.without(cells, pairs, bool(label)), EVIDENCE), float(label)])
-            columns = zip(*rows, strict=True) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in columns], ["a", "b", "c", "d", "y"])
-
-    chosen = learning.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    table = chosen.select("text", "label").mapInArrow(measure, "a double, b double, c double, d double, y double").toArrow()
-    data = np.column_stack([c.to_numpy() for c in table.columns]) if table.num_rows else np.empty((0, 5))
-    if len(set(data[:, 4])) < 2:
-        return None
-    return fit_logistic(data[:, :4], data[:, 4])
+                found = [worst_block(*m.without(cells, pairs, bool(label)), EVIDENCE) for m in models]
+                rows.append([*np.concatenate(found), float(label)])
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in columns], names)
+
+    names = [f"x{i}" for i in range(4 * len(DISCOUNTS))] + ["y"]
+    share = F.when(F.col("label") == 1, shares.get(1, 0)).otherwise(shares.get(0, 0))
+    chosen = learning.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("text", "label")
+    table = chosen.mapInArrow(measure, ", ".join(f"{n} double" for n in names)).toArrow()
+    data = np.column_stack([c.to_numpy() for c in table.columns])
+    known.unpersist()
+    y = data[:, -1]
+    fitted = [fit_logistic(data[:, 4 * i : 4 * i + 4], y) for i in range(len(DISCOUNTS))]
+    losses = [log_loss(data[:, 4 * i : 4 * i + 4], y, w) for i, w in enumerate(fitted)]
+    best = next(i for i, loss in enumerate(losses) if loss <= (1 + TOLERANCE) * min(losses))
+    # The sample holds the classes in other shares than the texts do; only the constant depends on that.
+    fitted[best][-1] -= np.log(shares[1] / shares[0])
+    return model.with_discount(DISCOUNTS[best]), fitted[best]
