@@ -1,5 +1,8 @@
 """Toxicity and quality on held-out rows, and on texts of every odd kind."""
 
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -7,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lakestrata.llm import quality_cnn, toxicity
+from lakestrata.llm import quality_cnn, shingles, toxicity
 from lakestrata.llm.quality_cnn import ByteNetwork, repeated, score_quality
 from lakestrata.llm.shingles import word_hashes
 from lakestrata.llm.toxicity import KneserNey, score_toxicity
@@ -213,3 +216,54 @@ def test_a_very_long_text_scores_as_in_one_piece():
     whole = network._forward([text])[-1][0]
     assert network.scores([text, b"", b"short"])[0] == pytest.approx(whole, abs=1e-5)
     assert network.scores([b"short"])[0] == pytest.approx(network.scores([text[:50], b"short"])[1], abs=1e-6)
+
+
+def test_a_small_sample_holds_both_classes(spark):
+    """The last step is fitted to few rows of a rare class, and its constant to the classes' true shares."""
+    documents, labels = learning_documents(spark)
+    more = documents.select((F.col("doc_id") + 1000).alias("doc_id"), "text").where("doc_id % 3 <> 1")
+    clean = more.select("doc_id", F.lit(0).alias("toxic"), F.lit(1).alias("quality"))
+    rows = score_toxicity(documents.union(more), labels.union(clean), fit_rows=60).collect()
+    own = [r for r in rows if r.held_out and r.doc_id < 1000]
+    assert np.mean([r.predicted for r in own if r.doc_id % 3 == 0]) > 0.9
+    assert np.mean([r.predicted for r in own if r.doc_id % 3]) < 0.03
+
+
+def test_the_learning_texts_choose_the_discount():
+    assert toxicity.log_loss(np.array([[2.0], [-1.0]]), np.array([1.0, 0.0]), np.array([1.0, 0.5])) == pytest.approx(
+        (np.log1p(np.exp(-2.5)) + np.log1p(np.exp(-0.5))) / 2
+    )
+    counts = [np.array([5, 1, 0, 2]), np.array([1, 9, 4, 2]), np.array([6, 10, 4, 3])]
+    model = KneserNey(*counts)
+    less = model.with_discount(1.0)
+    assert (model.discount, less.discount) == (toxicity.DISCOUNT, 1.0) and less.toxic is model.toxic
+    a, b = less.log_shares(*counts)
+    tables = less.tables()
+    assert np.allclose(tables[0], a) and np.allclose(tables[1], b)
+
+
+def test_words_do_not_depend_on_slices(monkeypatch):
+    texts = ["", " \n ", "!!! ??", "é漢字 ab\ncd", "x" * 500, " . " * 90, " ".join(["the", "Σας", "ÉÀ", "漢字", "a_b", "9", "--"] * 40)]
+    whole = [word_hashes(t) for t in texts]
+    for size in (3, 17, 100):
+        monkeypatch.setattr(shingles, "_SLICE", size)
+        for text, found in zip(texts, whole, strict=True):
+            assert word_hashes(text).tolist() == found.tolist()
+
+
+def test_a_text_of_100_mb_under_a_memory_limit():
+    """Hashing and rating it takes little more than the text and eight bytes a word."""
+    code = """
+import resource, numpy as np
+from lakestrata.llm import toxicity as X
+from lakestrata.llm.shingles import word_hashes
+text = " ".join(["anerous", "is", "withintion", "of"] * 4_400_000)
+X._cells(word_hashes("warm up"))
+used = int(open("/proc/self/statm").read().split()[0]) * 4096
+resource.setrlimit(resource.RLIMIT_AS, (used + (1 << 30),) * 2)
+cells = X._cells(word_hashes(text))
+table = np.zeros(1 << X.CELL_BITS, np.float32)
+assert len(text) > 10**8 and X.worst_block(table[cells], table[cells], X.EVIDENCE).shape == (4,)
+"""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=300)
