@@ -169,14 +169,18 @@ def fingerprints(
             least.append(F.min(value).alias(f"s{side}_{i}"))
     signed = logs.groupBy(*_KEY, "self").agg(*least)
     columns = [F.concat(*(_hex(F.col(f"s{side}_{i}")) for i in range(samples))).alias(f"f{side}") for side in (0, 1)]
-    signed = signed.select(*_KEY, "self", *columns)
+    signed = signed.select(*(F.col(c).alias(f"s_{c}") for c in _KEY), F.col("self").alias("s_self"), *columns)
 
     def print_of(side: int, text: str) -> Column:
         """A text without words is its own only term."""
         whole = F.concat(*(_hex(F.xxhash64(F.lit(i), F.col(text))) for i in range(samples)))
         return F.coalesce(F.col(f"f{side}"), whole)
 
-    edits.join(signed, [*_KEY, "self"], "left").select(
+    # Both sides lie by the key. As an equality, the variant would be a join key too, and texts would move again.
+    same = F.when(F.col("self"), F.col("s_self")).otherwise(~F.col("s_self"))
+    for c in _KEY:
+        same = same & (F.col(c) == F.col(f"s_{c}"))
+    edits.join(signed, same, "left").select(
         "doc_id",
         "n",
         "rank",
