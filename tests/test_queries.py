@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -46,3 +48,11 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "instituicao_financeira"
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "lakestrata.llm", "corpus_pipeline"])
+def test_the_entry_without_what_the_optional_queries_need(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(sorted(e.queries()) == {sorted(QUERIES)})"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip().endswith("True"), done.stderr
