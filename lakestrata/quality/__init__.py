@@ -15,6 +15,7 @@ from lakestrata.quality.suite import (
     watch_suite,
     write_dq_report,
 )
+from lakestrata.quality.values import unexpected_values
 
 __all__ = [
     "DataQualityError",
@@ -28,6 +29,7 @@ __all__ = [
     "read_dq_report",
     "run_suite",
     "suite_name",
+    "unexpected_values",
     "watch_suite",
     "write_dq_report",
 ]

@@ -5,6 +5,7 @@ from lakestrata.quality import (
     expect_unique_key,
     key_violations,
     run_suite,
+    unexpected_values,
 )
 from lakestrata.queries import tables as t
 
@@ -47,7 +48,14 @@ def dq_key_violations(spark, sf_dir):
     return key_violations(orders, "o_custkey")
 
 
+def dq_unexpected_values(spark, sf_dir):
+    """The values that break two rules on orders most often, one of few values and one of many."""
+    suite = [expect_match_regex("o_orderpriority", "^[12]"), expect_length_equal("o_custkey", 2)]
+    return unexpected_values(t.table(spark, sf_dir, "orders"), suite, "orders", top=15)
+
+
 QUERIES = {
+    "dq_unexpected_values": dq_unexpected_values,
     "dq_report": dq_report,
     "dq_type_check": dq_type_check,
     "dq_unique_key": dq_unique_key,
@@ -89,6 +97,20 @@ select {_unknown("customer", "expect_column_value_lengths_to_equal", "no_such_co
 """
 
 ORACLES = {
+    "dq_unexpected_values": """
+with broken as (
+    select 'expect_column_values_to_match_regex' as expectation, 'o_orderpriority' as "column",
+           o_orderpriority as value
+    from orders where not regexp_matches(o_orderpriority, '^[12]')
+    union all
+    select 'expect_column_value_lengths_to_equal', 'o_custkey', o_custkey::varchar
+    from orders where length(o_custkey::varchar) <> 2
+), counted as (
+    select expectation, "column", value, count(*) as n_rows from broken group by all
+)
+select 'orders' as "table", 'dq_orders' as suite, expectation, "column",
+       row_number() over (partition by expectation order by n_rows desc, value) as rank, value, n_rows
+from counted qualify rank <= 15""",
     "dq_report": DQ_CUSTOMER_SQL,
     "dq_type_check": f"""
 with s as (select count(*) as n, 0::bigint as zero from orders)
