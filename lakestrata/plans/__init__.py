@@ -8,6 +8,7 @@ from lakestrata.plans.bank import (
     suite_for,
 )
 from lakestrata.plans.delivery import deliver_files_job, deliver_job, export_jdbc_job
+from lakestrata.plans.landing import land_new_job, read_landed
 from lakestrata.plans.taxi import (
     GOLD_COLUMNS,
     ROUTES,
@@ -38,6 +39,8 @@ __all__ = [
     "export_jdbc_job",
     "gold",
     "gold_job",
+    "land_new_job",
+    "read_landed",
     "route_job",
     "silver",
     "silver_job",

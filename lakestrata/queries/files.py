@@ -2,9 +2,11 @@
 
 import datetime
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
+from lakestrata import storage
 from lakestrata.operators import union_by_name
 from lakestrata.plans import (
     BANK_SOURCES,
@@ -12,6 +14,8 @@ from lakestrata.plans import (
     clean_source_job,
     delivery_table_job,
     gold_job,
+    land_new_job,
+    read_landed,
     route_job,
     silver_job,
 )
@@ -144,16 +148,10 @@ def union_tables(spark, sf_dir):
 
 def _named_file(df, root, name):
     """Write a table as one parquet file of that name, by way of Spark's own file system."""
-    spark = df.sparkSession
-    df.coalesce(1).write.parquet(f"{root}/_staged/{name}")
-    jvm = spark._jvm.org.apache.hadoop.fs
-    staged = jvm.Path(f"{root}/_staged/{name}")
-    system = staged.getFileSystem(spark._jsc.hadoopConfiguration())
-    (part,) = [s.getPath() for s in system.listStatus(staged) if s.getPath().getName().startswith("part-")]
-    target = jvm.Path(f"{root}/{name}")
-    system.mkdirs(target.getParent())
-    if not system.rename(part, target):
-        raise OSError(f"cannot name {name}")
+    staged = f"{root}/_staged/{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(staged)
+    (part,) = [n for n in storage.children(df.sparkSession, staged) if n.startswith("part-")]
+    storage.rename(df.sparkSession, f"{staged}/{part}", f"{root}/{name}")
 
 
 def _supplier_files(spark, sf_dir):
@@ -384,6 +382,20 @@ def sized_partitions(spark, sf_dir):
     return read_layer(spark, path)
 
 
+def landed_again(spark, sf_dir):
+    """A landing that runs again after a file was changed and another came, with other columns."""
+    root, target = work_folder(spark, "land-new"), work_folder(spark, "landed")
+    customers = t.table(spark, sf_dir, "customer")
+    _named_file(customers.where("c_nationkey < 10"), root, "a/some.parquet")
+    _named_file(customers.where("c_nationkey between 10 and 14"), root, "b/some.parquet")
+    land_new_job(spark, root, target)
+    storage.delete(spark, f"{root}/b/some.parquet")
+    _named_file(customers.where("c_nationkey between 12 and 19"), root, "b/some.parquet")
+    _named_file(customers.where("c_nationkey > 19").drop("c_name"), root, "c/more.parquet")
+    land_new_job(spark, root, target)
+    return read_landed(spark, target)
+
+
 QUERIES = {
     "read_delimited": delimited_round_trip,
     "write_delimited": headerless_round_trip,
@@ -410,6 +422,7 @@ QUERIES = {
     "delivery_table_files": delivery_files,
     "taxi_layers_files": taxi_files,
     "infer_one_parse": typed_in_one_parse,
+    "land_new": landed_again,
     "deliver_files": delivered_twice,
     "write_layer_versioned": replaced_layer,
     "write_layer_sized": sized_partitions,
@@ -525,6 +538,10 @@ select * from ({t.GREEN_SILVER_SQL}) where year(lpep_dropoff_datetime) between 1
     ),
     "delivery_table_files": _KEYS_AS_TEXT.format(t.DELIVERY_SQL),
     "taxi_layers_files": t.GOLD_SQL,
+    "land_new": """
+select * replace (case when c_nationkey < 20 then c_name end as c_name),
+       case when c_nationkey < 20 then 'some.parquet' else 'more.parquet' end as source_file
+from customer where c_nationkey not in (10, 11)""",
     "infer_one_parse": """
 select o_orderkey::int as o_orderkey, o_orderkey * 1000000000 as far_key, o_totalprice, o_orderdate::date as day,
        o_orderkey % 2 = 0 as even,

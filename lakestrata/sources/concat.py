@@ -52,6 +52,30 @@ def concat_by_name(
     return parts[0] if len(parts) == 1 else union_by_name(*parts)
 
 
+def read_files(spark: SparkSession, files: list[str], path_column: str) -> DataFrame:
+    """The rows of the named parquet files as `concat_by_name` unites them, each with the path it came from."""
+    try:
+        parts = [spark.read.option("mergeSchema", True).parquet(*files)]
+    except (PySparkException, Py4JJavaError) as error:
+        if not _cannot_merge(error):
+            raise
+        found = file_schemas(list_files(spark, files))
+        wanted = set(files)
+        parts = []
+        for own in found:
+            # Folders stand for files of theirs that were asked for.
+            inside = [f for f in wanted if f.rpartition("/")[0] in own.folders] + [f for f in own.files if f in wanted]
+            parts.append(spark.read.schema(own.schema).parquet(*sorted(inside)))
+    path = _decoded(F.col("_metadata.file_path"))
+    named = [df.select(*[quoted(c) for c in df.columns], one_scheme(path).alias(path_column)) for df in parts]
+    return union_by_name(*named)
+
+
+def one_scheme(path: Column) -> Column:
+    """Local paths with one slash behind `file:`; Spark's listings and scans disagree."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def _dataset(path: str) -> Column:
     """The folder below (or at) `path` whose sub-folders are named `column=value`; null for other files."""
     root = path.rstrip("/")

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """One row per file below `path`: `file_path`, `file_name`, `length`.
+def list_files(
+    spark: SparkSession, path: str | list[str], glob: str = "*", modified: bool = False
+) -> DataFrame:
+    """One row per file below `path`: `file_path`, `file_name`, `length`, and if asked for `modified`.
 
     Executors produce the rows; the files' content is not read. Like any Spark
     scan it leaves out names starting with `_` or `.`.
@@ -22,6 +24,7 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*") -> D
         F.col("path").alias("file_path"),
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "length",
+        *([F.col("modificationTime").alias("modified")] if modified else []),
     )
 
 
