@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--entity-column")
     clean.add_argument("--schema", help="DDL of the raw columns; inferred if left out")
     clean.add_argument("--no-infer", action="store_true", help="keep every column as text")
+    clean.add_argument("--text-columns", nargs="*", help="normalised names of columns that stay text")
     clean.add_argument("--legacy-upper-o", action="store_true", help="fold an accented o to O in headers")
     clean.add_argument("--on-failure", choices=["record", "raise"], default="record")
 
@@ -65,6 +66,16 @@ def _parser() -> argparse.ArgumentParser:
         load.add_argument("--truncate", action="store_true", help="keep a replaced table's definition and key")
         if name == "deliver":
             load.add_argument("--variant", choices=["append", "replace"], default="append")
+
+    files = jobs.add_parser("deliver-files", help="load the delivery table of files, each load once")
+    for name in ("--source", "--target", "--load-id"):
+        files.add_argument(name, required=True)
+    files.add_argument("--variant", choices=["append", "replace", "create"], default="append")
+
+    land = jobs.add_parser("land-new", help="land files that are new or have changed")
+    for name in ("--source", "--target"):
+        land.add_argument(name, required=True)
+    land.add_argument("--glob", default="*")
     return parser
 
 
@@ -91,6 +102,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             infer=not args.no_infer,
             on_failure=args.on_failure,
             legacy_upper_o=args.legacy_upper_o,
+            **({} if args.text_columns is None else {"text_columns": args.text_columns}),
         )
     elif args.job == "delivery-table":
         plans.delivery_table_job(spark, args.complaints, args.employees, args.banks, args.target)
@@ -105,6 +117,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
         )
     elif args.job == "gold":
         plans.gold_job(spark, {"yellow": args.yellow, "green": args.green}, args.target)
+    elif args.job == "deliver-files":
+        plans.deliver_files_job(spark, args.source, args.target, args.load_id, variant=args.variant)
+    elif args.job == "land-new":
+        plans.land_new_job(spark, args.source, args.target, args.glob)
     elif args.job == "export-jdbc":
         plans.export_jdbc_job(
             spark, args.source, args.url, args.table, _properties(args.properties),

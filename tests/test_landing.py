@@ -7,8 +7,10 @@ import pyarrow.parquet as pq
 import pytest
 
 from lakestrata import storage
+from lakestrata.cli import main
 from lakestrata.plans import land_new_job, read_landed
 from lakestrata.plans import landing as L
+from lakestrata.sinks import read_delivery
 from lakestrata.sources import land_recursive
 
 
@@ -89,3 +91,13 @@ def test_files_that_are_gone_stay(spark, folders):
     assert read_landed(spark, target).count() == 3
     with pytest.raises(ValueError, match="overlap"):
         land_new_job(spark, source, source + "/out")
+
+
+def test_the_commands(spark, folders):
+    source, target = folders
+    main(["land-new", "--source", source, "--target", target, "--glob", "x.parquet"])
+    assert read_landed(spark, target).count() == 2
+    delivered = target + "-table"
+    for _ in range(2):
+        main(["deliver-files", "--source", source, "--target", delivered, "--load-id", "one", "--variant", "create"])
+    assert sorted(r.v for r in read_delivery(spark, delivered).collect()) == [1, 2, 3]
