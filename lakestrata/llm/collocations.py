@@ -355,15 +355,18 @@ def _count(known):
             for (n, at, first), (_, _, second) in zip(words.runs(_lang_hashes(langs, 0), 0, skip), seconds, strict=True):
                 left = passes(first)
                 at = at[left]
-                columns = first[left], second[left], np.full(len(at), n), words.starts[at] + base
-                held.append((*columns, words.stops[at + n - 1] + base, words.texts[at] + texts, *kept))
+                places = (words.starts[at] + base, words.stops[at + n - 1] + base, words.texts[at] + texts)
+                columns = first[left], second[left], np.full(len(at), n, np.int8), *(x.astype(np.int32) for x in places)
+                held.append((*columns, *kept))
                 kept = b"", []
                 size += len(at)
             base += len(data)
             texts += len(langs)
-            if size > FLUSH // 2 or base > 32 * SLICE:
-                yield counted()
+            # Slices are small, so places fit 32 bits.
+            if size > FLUSH // 4 or base > 32 * SLICE:
+                batch = counted()
                 held, size, base, texts = [], 0, 0, 0
+                yield batch
         if held:
             yield counted()
         if totals:
