@@ -119,7 +119,7 @@ def test_chosen_requests(spark, tmp_path):
     tops = build(nodes, str(tmp_path)).select("tree", "depth", "digest").withColumn(
         "path", F.array().cast("array<struct<left: string, right: string>>")
     )
-    asked = nodes.where("rank in (0, 9, 99)")
+    asked = nodes.where("rank in (0, 9, 99)").select("tree", "rank", "depth")
     found = descend(tops, asked, str(tmp_path)).withColumn("folded", fold(F.col("digest"), F.col("path"))).collect()
     assert sorted(r.rank for r in found) == [0, 9, 99]
     for r in found:
