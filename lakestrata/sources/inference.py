@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,6 +18,11 @@ _NUMBERS = INT | LONG | DECIMAL | DOUBLE
 _MOST_DIGITS = 38
 #: Digits that hold every int and every long.
 _INT_DIGITS, _LONG_DIGITS = 10, 20
+#: What Java takes for a number, and a little more: decimal or hexadecimal, between blanks.
+_NUMBER = (
+    r"^[\x00-\x20]*+[+-]?(?:(?:[0-9]++\.?[0-9]*+|\.[0-9]++)(?:[eE][+-]?[0-9]++)?|0[xX][0-9a-fA-F.]*+[pP][+-]?[0-9]++)"
+    r"[fFdD]?[\x00-\x20]*+$"
+)
 
 
 def _digits(value: Column) -> Column:
@@ -29,12 +34,21 @@ def value_kind(value: Column) -> Column:
     """The narrowest type that holds a text value, as one bit; null for a null or empty value."""
     whole, pointed = value.rlike(r"^[+-]?[0-9]+$"), value.rlike(r"^[+-]?[0-9]+\.$")
     named = F.trim(value).isin("NaN", "Inf", "-Inf", "Infinity", "+Infinity", "-Infinity")
+    exact = value.try_cast(T.DecimalType(_LONG_DIGITS, 0))
+    held = F.when(_digits(value) <= _MOST_DIGITS, DECIMAL).otherwise(DOUBLE)
     return (
         F.when(value.isNull() | (value == ""), F.lit(None))
-        .when(whole & value.try_cast("int").isNotNull(), INT)
-        .when(whole & value.try_cast("long").isNotNull(), LONG)
-        .when((whole | pointed) & (_digits(value) <= _MOST_DIGITS), DECIMAL)
-        .when(value.try_cast("double").isNotNull() & (named | value.rlike("[0-9]")), DOUBLE)
+        .when(
+            whole,
+            F.when(F.length(value) < _INT_DIGITS, INT)
+            .when(_digits(value) >= _LONG_DIGITS, held)
+            .when(exact.between(-(1 << 31), (1 << 31) - 1), INT)
+            .when(exact.between(-(1 << 63), (1 << 63) - 1), LONG)
+            .otherwise(DECIMAL),
+        )
+        .when(pointed, held)
+        # A cast that fails raises an error inside, which takes longer than all the rest.
+        .when((value.rlike(_NUMBER) | named) & value.try_cast("double").isNotNull(), DOUBLE)
         .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & value.try_cast("date").isNotNull(), DATE)
         .when(value.try_cast("timestamp").isNotNull(), TIMESTAMP)
         .when(F.lower(value).isin("true", "false"), BOOLEAN)
@@ -42,12 +56,15 @@ def value_kind(value: Column) -> Column:
     )
 
 
-def kind_measures(df: DataFrame) -> list[Column]:
-    """Two aggregates a column that merge in any order: the kinds of its values, and the most digits of a decimal."""
+def kind_measures(df: DataFrame, kinds: Sequence[Column] | None = None) -> list[Column]:
+    """Two aggregates a column that merge in any order: the kinds of its values, and the most digits of a decimal.
+
+    `kinds` are columns that hold the kinds, where these were found before.
+    """
     measures = []
     for i, name in enumerate(df.columns):
         value = F.col(quoted(name))
-        kind = value_kind(value)
+        kind = value_kind(value) if kinds is None else kinds[i]
         measures.append(F.bit_or(kind).alias(f"kinds_{i}"))
         measures.append(F.max(F.when(kind == DECIMAL, _digits(value))).alias(f"digits_{i}"))
     return measures
@@ -100,7 +117,10 @@ def stage_delimited(
         return raw
     plain = raw.toDF(*(f"c{i}" for i in range(len(names))))
     seen = Observation()
-    plain.observe(seen, *kind_measures(plain)).write.parquet(staging)
+    # Kinds are found before they are observed, each once, and as an array, so that the code made for a row stays small.
+    kinds = F.transform(F.array(*plain.columns), value_kind).alias("kinds")
+    measures = kind_measures(plain, [F.col("kinds")[i] for i in range(len(names))])
+    plain.select("*", kinds).observe(seen, *measures).select(plain.columns).write.parquet(staging)
     schema = merged_types(names, seen.get)
     copy = spark.read.schema(plain.schema).parquet(staging)
     return copy.select(

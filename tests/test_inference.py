@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata import storage
-from lakestrata.sources import read_delimited, stage_delimited
+from lakestrata.sources import inference, read_delimited, stage_delimited
 from lakestrata.sources.inference import kind_measures, merged_types
 
 SINGLE = [
@@ -98,3 +98,32 @@ def test_encoding_and_quotes(spark, tmp_path):
     df = stage_delimited(spark, str(tmp_path / "a.csv"), str(tmp_path / "s"), separator=";", encoding="ISO-8859-1")
     assert sorted((r.nome, r.valor) for r in df.collect()) == [("Rio", 2), ("São; Paulo", 1)]
     assert df.select(F.sum("valor")).first()[0] == 3
+
+
+BOUNDS = [
+    "2147483647", "+2147483647", "0000002147483647", "-2147483648", "-2147483649", "999999999", "-99999999999",
+    "9223372036854775807", "+9223372036854775808", "-0009223372036854775808", "-9223372036854775809", "1" * 19, "9" * 20,
+    "1" * 20 + ".", "1" * 39 + ".", "0x1p", "0x.8p1d", "1-URGENT", "5-LOW", "1.5.2", "\t1.5", ".", "1e5x", "12-34",
+]
+
+
+def test_bounds_of_whole_numbers_and_text_that_looks_like_a_number(spark, tmp_path):
+    path = write(tmp_path / "a.csv", [[v] for v in BOUNDS])
+    wanted = read_delimited(spark, path, separator="|")
+    got = stage_delimited(spark, path, str(tmp_path / "staged"), separator="|")
+    assert {v: f.dataType for v, f in zip(BOUNDS, got.schema)} == {v: f.dataType for v, f in zip(BOUNDS, wanted.schema)}
+    assert [str(v) for v in got.first()] == [str(v) for v in wanted.first()]
+
+
+def test_kinds_are_found_before_they_are_observed(spark, tmp_path, monkeypatch):
+    seen, original = [], inference.kind_measures
+
+    def kept(*args):
+        seen.extend(original(*args))
+        return seen
+
+    monkeypatch.setattr(inference, "kind_measures", kept)
+    path = write(tmp_path / "a.csv", [["1-URGENT", "30000000000"], ["7", "8"]])
+    got = stage_delimited(spark, path, str(tmp_path / "staged"), separator="|")
+    assert [t for _, t in got.dtypes] == ["string", "int"]
+    assert len(seen) == 4 and not any("cast" in str(m).lower() for m in seen)
