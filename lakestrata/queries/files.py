@@ -154,6 +154,23 @@ def _named_file(df, root, name):
     storage.rename(df.sparkSession, f"{staged}/{part}", f"{root}/{name}")
 
 
+def _named_files(df, column, root, names):
+    """Write a table as parquet files named by a column: `names` gives the start of a value's names, a number follows.
+
+    One pass over the table, in as many tasks as read it, each of which writes a file for each of its
+    values. A value without rows gets one empty file.
+    """
+    spark, staged = df.sparkSession, f"{root}/_staged/{uuid.uuid4().hex}"
+    df.write.partitionBy(column).parquet(staged)
+    for value, name in names.items():
+        folder = f"{staged}/{column}={value}"
+        parts = [n for n in storage.children(spark, folder) if n.startswith("part-")]
+        for number, part in enumerate(parts, 1):
+            storage.rename(spark, f"{folder}/{part}", f"{root}/{name}-{number:02d}.parquet")
+        if not parts:
+            _named_file(df.drop(column).limit(0), root, f"{name}-01.parquet")
+
+
 def _supplier_files(spark, sf_dir):
     """Suppliers of each region of nations as one file; two folders use one base name."""
     root = work_folder(spark, "landing")
@@ -209,7 +226,7 @@ _TRIP_YEARS = (1994, 1998)
 
 
 def _raw_trip_files(spark, sf_dir):
-    """Trips as one raw file a category and year, besides a file without a year."""
+    """Trips as raw files by category and year, besides files without a year."""
     root = work_folder(spark, "raw-trips")
     categories = {
         "green": (t.green_trips(spark, sf_dir), "lpep_dropoff_datetime"),
@@ -217,9 +234,10 @@ def _raw_trip_files(spark, sf_dir):
         "fhv": (t.yellow_trips(spark, sf_dir).select("VendorID", "tpep_dropoff_datetime"), "tpep_dropoff_datetime"),
     }
     for name, (trips, day) in categories.items():
-        for year in range(1992, 1999):
-            _named_file(trips.where(F.year(day) == year), root, f"{name}_tripdata_{year}-01.parquet")
-        _named_file(trips.where(F.year(day) > 1998), root, f"{name}_tripdata_latest.parquet")
+        names = {str(year): f"{name}_tripdata_{year}" for year in range(1992, 1999)}
+        year = F.year(day)
+        dated = trips.withColumn("__file", F.when(year > 1998, "latest").when(year >= 1992, year.cast("string")))
+        _named_files(dated.where("__file is not null"), "__file", root, names | {"latest": f"{name}_tripdata_latest"})
     return root
 
 
