@@ -38,6 +38,19 @@ def by_bytes(texts: list[str], most: int = BATCH_BYTES) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+_kept: dict[str, dict] = {}
+
+
+def kept_by(operator: str) -> dict:
+    """What a worker keeps between the tasks of an operator; what it kept for another one is let go.
+
+    Workers are used again by the next step of a pipeline, which needs their memory for itself.
+    """
+    for other in [name for name in _kept if name != operator]:
+        del _kept[other]
+    return _kept.setdefault(operator, {})
+
+
 #: White space other than the two characters that texts are cut at.
 _OTHER_SPACE = re.compile(
     "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"

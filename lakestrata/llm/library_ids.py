@@ -7,10 +7,7 @@ import json
 import os
 from struct import pack
 
-from lakestrata.llm.common import WordIds
-
-_encoders: dict[bytes, WordIds] = {}
-
+from lakestrata.llm.common import WordIds, kept_by
 
 def library_encoder(data: bytes) -> WordIds:
     """Packs the ids that the library gives whole texts, without added special tokens.
@@ -21,7 +18,8 @@ def library_encoder(data: bytes) -> WordIds:
     a byte-level file starts tokens at white space, a file with word ends drops it.
     """
     key = hashlib.sha256(data).digest()
-    if key not in _encoders:
+    encoders: dict[bytes, WordIds] = kept_by("library_ids")
+    if key not in encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         from tokenizers import Tokenizer
 
@@ -32,6 +30,6 @@ def library_encoder(data: bytes) -> WordIds:
             found = library.encode_batch_fast(strings, add_special_tokens=False)
             return [pack(f"<{len(ids)}I", *ids) for ids in (x.ids for x in found)]
 
-        _encoders.clear()
-        _encoders[key] = WordIds(encode, drops_space)
-    return _encoders[key]
+        encoders.clear()
+        encoders[key] = WordIds(encode, drops_space)
+    return encoders[key]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import learning_labels, remainder, texts_of
+from lakestrata.llm.common import kept_by, learning_labels, remainder, texts_of
 from lakestrata.llm.shingles import mix, word_hashes
 
 #: Words are hashed to so many cells, which bounds the size of the model (three counts a cell).
@@ -175,6 +175,7 @@ def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(kinds, pa.int64()), pa.array(np.full(len(kinds), mask, np.int32))], ["pair", "mask"]
         )
 
+    kept_by("toxicity")
     held: dict[int, list[np.ndarray]] = {1: [], 2: []}
     sizes = {1: 0, 2: 0}
     for batch in batches:
@@ -263,6 +264,7 @@ def score_toxicity(
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("toxicity")
         tables = known.value if weights is not None else None
         for batch in batches:
             rows = []
@@ -317,6 +319,7 @@ def _fit(learning: DataFrame, model: KneserNey, fit_rows: int) -> tuple[KneserNe
     known = learning.sparkSession.sparkContext.broadcast([model.with_discount(d) for d in DISCOUNTS])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("toxicity")
         models = known.value
         for batch in batches:
             rows = []
