@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +59,7 @@ _OTHER_SPACE = re.compile(
 )
 _BREAK = re.compile(r"(?<=[^ \n])(?=\n)")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_OTHER_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _TAIL = ".,!?;:|$%&*#"
 
 
@@ -85,37 +88,40 @@ class WordIds:
         """Put the ids of words that `kept` lacks into it."""
         plain, tails, made = set(), set(), []
         for word in words:
-            parts = []
-            for line in _BREAK.split(word) if "\n" in word else (word,):
-                base = line.rstrip(_TAIL)
-                if len(base) < len(line) and base[-1:].isalpha():
-                    parts += (base, line[len(base) :])
-                else:
-                    parts.append(line)
-            plain.add(parts[0])
-            if len(parts) > 1:
+            base = word.rstrip(_TAIL)
+            if "\n" in word:
+                parts = []
+                for line in _BREAK.split(word):
+                    base = line.rstrip(_TAIL)
+                    if len(base) < len(line) and base[-1:].isalpha():
+                        parts += (base, line[len(base) :])
+                    else:
+                        parts.append(line)
+                if len(parts) > 1:
+                    made.append((word, parts[0], parts[1:]))
+                plain.add(parts[0])
                 tails.update(parts[1:])
-                made.append((word, parts))
+            elif len(base) < len(word) and base[-1:].isalpha():
+                made.append((word, base, (word[len(base) :],)))
+            else:
+                plain.add(word)
+        plain.update([base for _, base, _ in made])
+        tails.update([others[0] for _, _, others in made])
         for known, before, wanted in ((kept, lead, plain), (self.bare, "", tails)):
             missing = list(wanted.difference(known))
             for start, end in by_bytes(missing, BATCH_BYTES // 8):
                 part = missing[start:end]
-                known.update(zip(part, self.encode([before + w for w in part]), strict=True))
+                known.update(zip(part, self.encode([before + w for w in part] if before else part), strict=True))
         bare = self.bare.__getitem__
-        for word, parts in made:
-            kept[word] = kept[parts[0]] + b"".join(map(bare, parts[1:]))
-        (self.made_after if kept is self.after else self.made_bare).extend(word for word, _ in made)
+        for word, base, others in made:
+            kept[word] = kept[base] + (bare(others[0]) if len(others) == 1 else b"".join(map(bare, others)))
+        (self.made_after if kept is self.after else self.made_bare).extend([word for word, _, _ in made])
 
     def _find(self, kept: dict[str, bytes], lead: str, words: list[str]) -> list[bytes]:
         """The ids of each word; most words were met before, so one look at each suffices."""
         found = list(map(kept.get, words))
-        missing, at = [], -1
-        try:
-            while True:
-                missing.append(at := found.index(None, at + 1))
-        except ValueError:
-            pass
-        if missing:
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
             self._learn(kept, lead, {words[i] for i in missing})
             for i in missing:
                 found[i] = kept[words[i]]
@@ -135,34 +141,45 @@ class WordIds:
                     kept.pop(word, None)
                 words.clear()
 
+    def _split(self, kept: dict[str, bytes], lead: str, texts: pa.Array) -> list[bytes]:
+        """The ids of the words between the blanks of each text, none of a null; each different word is looked up once."""
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        parts = self._find(kept, lead, coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        words = coded.indices.to_numpy()
+        own = sizes[words]
+        stops = np.append(0, np.cumsum(own))
+        shift = (np.cumsum(sizes) - sizes)[words] - stops[:-1]
+        out = ids[np.arange(stops[-1]) + np.repeat(shift, own)]
+        ends = stops[np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy())].tolist()
+        return [out[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
         self._forget()
         if self.drops_space:
-            words, ends = [], []
-            for text in texts:
-                words += text.replace("\n", " ").split(" ")
-                ends.append(len(words))
-            found = self._find(self.bare, "", words)
-            return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+            return self._split(self.bare, "", pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "))
         out = [b""] * len(texts)
-        first, rest, ends, whole = [], [], [], {}
+        first, ends, rest, whole = [], [], [], {}
         for i, text in enumerate(texts):
-            if _OTHER_SPACE.search(text):
+            if any(map(text.__contains__, _OTHER_ASCII)) if text.isascii() else _OTHER_SPACE.search(text):
                 whole[i] = text
                 continue
-            words = text.split(" ")
-            if "" in words:
+            if not text or text[0] == " " or text[-1] == " " or "  " in text:
                 first += _CHUNK.findall(text)
+                rest.append(None)
             else:
-                first.append(words[0])
-                rest += words[1:]
-            ends.append((i, len(first), len(rest)))
-        first, rest = self._find(self.bare, "", first), self._find(self.after, " ", rest)
-        a = b = 0
-        for i, c, d in ends:
-            out[i] = b"".join(first[a:c]) + b"".join(rest[b:d])
-            a, b = c, d
+                word, _, others = text.partition(" ")
+                first.append(word)
+                rest.append(others or None)
+            ends.append((i, len(first)))
+        first, rest = self._find(self.bare, "", first), self._split(self.after, " ", pa.array(rest, pa.large_string()))
+        a = 0
+        for (i, b), others in zip(ends, rest, strict=True):
+            out[i] = b"".join(first[a:b]) + others
+            a = b
         if whole:
             for i, ids in zip(whole, self.encode(list(whole.values())), strict=True):
                 out[i] = ids

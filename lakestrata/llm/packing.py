@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import by_bytes
+from lakestrata.llm.common import BATCH_BYTES, by_bytes
 from lakestrata.llm.library_ids import library_encoder
 from lakestrata.session import work_folder
 
@@ -114,7 +114,7 @@ def pack_documents(
         for batch in batches:
             texts = batch.column(1).to_pylist()
             rows, owner = [], []
-            for first, last in by_bytes(texts):
+            for first, last in by_bytes(texts, 2 * BATCH_BYTES):
                 for i, ids in enumerate(encode(texts[first:last]), first):
                     ids += end
                     n = len(ids) // 4

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import by_bytes
+from lakestrata.llm.common import BATCH_BYTES, by_bytes
 from lakestrata.llm.library_ids import library_encoder
 
 BLOCK = 1024
@@ -137,7 +137,7 @@ def write_token_files(
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for start, stop in by_bytes(texts):
+            for start, stop in by_bytes(texts, 2 * BATCH_BYTES):
                 taken = start
                 for i, ids in enumerate(encode(texts[start:stop]), start):
                     packed.append(ids + end)
