@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from lakestrata.functions.text import quoted
 
 BATCH_BYTES = 2 << 20
+#: Rows of an Arrow batch of whole texts, where the session says nothing else.
+BATCH_ROWS = 1000
 #: Labels are broadcast up to so many rows (some 30 MB).
 BROADCAST_LABELS = 1_000_000
 
@@ -22,6 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send Python `BATCH_ROWS` rows at a time, unless it was given a number.
+
+    Spark's 10,000 rows would be tens of megabytes of text, which executor, worker and
+    the worker's results each hold more than once.
+    """
+    number = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(number, None) is None:
+        spark.conf.set(number, BATCH_ROWS)
+
+
 def texts_of(batch: pa.RecordBatch, text_col: str) -> Iterator[str]:
     """The texts of a batch, from its column `text` or from the carried `row`; null texts are empty."""
     carried = batch.column("row").field(text_col) if "row" in batch.schema.names else batch.column("text")

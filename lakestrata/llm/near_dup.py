@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
+from lakestrata.llm.common import small_batches
 from lakestrata.llm.shingles import mix, weighted_shingles
 from lakestrata.session import work_folder
 
@@ -312,6 +313,7 @@ def near_duplicates(
     computed twice and a lost executor costs its tasks only.
     """
     spark = df.sparkSession
+    small_batches(spark)
     folder = work_folder(spark, "near-dup")
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     texts = df.select(_key(text).alias("key"), text.alias("text"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import BATCH_BYTES, by_bytes
+from lakestrata.llm.common import BATCH_BYTES, by_bytes, small_batches
 from lakestrata.llm.library_ids import library_encoder
 from lakestrata.session import work_folder
 
@@ -99,6 +99,7 @@ def pack_documents(
     are not read.
     """
     spark = df.sparkSession
+    small_batches(spark)
     with open(tokenizer_path, "rb") as file:
         held = spark.sparkContext.broadcast(file.read())  # one vocabulary file
     source = df.select(

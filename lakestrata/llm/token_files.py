@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import BATCH_BYTES, by_bytes
+from lakestrata.llm.common import BATCH_BYTES, by_bytes, small_batches
 from lakestrata.llm.library_ids import library_encoder
 
 BLOCK = 1024
@@ -97,6 +97,7 @@ def write_token_files(
     in the order of a hash of their text. An empty table gives no segments; other
     columns are not read.
     """
+    small_batches(df.sparkSession)
     with open(tokenizer_path, "rb") as file:
         held = df.sparkSession.sparkContext.broadcast(file.read())  # one vocabulary file
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
-from lakestrata.llm.common import kept_by, learning_labels, remainder, texts_of
+from lakestrata.llm.common import kept_by, learning_labels, remainder, small_batches, texts_of
 from lakestrata.llm.shingles import mix, word_hashes
 
 #: Words are hashed to so many cells, which bounds the size of the model (three counts a cell).
@@ -243,6 +243,7 @@ def score_toxicity(
     only for `carry`, which adds the source row as the struct `row`.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     doc_id = F.col(quoted(id_col))
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     row = F.struct(*(F.col(quoted(c)) for c in documents.columns))
