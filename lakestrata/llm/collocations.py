@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import quoted
+from lakestrata.llm.common import small_batches
 from lakestrata.llm.shingles import mix
 from lakestrata.operators import join_entities
 from lakestrata.session import work_folder
@@ -21,7 +22,7 @@ LONGEST = 4
 #: Bytes of text that are split into words at once.
 SLICE = 1 << 19
 #: Phrases, repeated ones too, that a task holds before it writes a summary or counts.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 #: A hash partition of the phrases is to hold about the phrases of so much text.
 PART_BYTES = 12 << 20
 #: How far a summary's capacity exceeds mass / threshold: its error is below threshold / SLACK.
@@ -167,10 +168,15 @@ SUMMARY = "part int, kind int, mass long, keys binary, counts binary"
 def summaries(found: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
     """Phrases of a task (cells) as a summary for each partition: its mass, and keys with their counts.
 
-    These summaries are exact: a task holds fewer phrases than a summary of the
+    `found` is emptied. These summaries are exact: a task holds fewer phrases than a summary of the
     whole partition may have counters.
     """
-    kinds, counts = np.unique(np.concatenate(found), return_counts=True)
+    kinds = np.concatenate(found)
+    found.clear()
+    kinds.sort()
+    heads = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1]))
+    counts = np.diff(heads, append=len(kinds))
+    kinds = kinds[heads]
     own = (kinds >> _HALF).astype(np.int64)
     present, first = np.unique(own, return_index=True)
     mass = np.add.reduceat(counts, first)
@@ -276,7 +282,7 @@ def _summarise(parts: int):
                     held += len(hashes)
             if held > FLUSH:
                 yield from summaries(found, parts)
-                found, held = [], 0
+                held = 0
         if found:
             yield from summaries(found, parts)
 
@@ -363,7 +369,7 @@ def _count(known):
             base += len(data)
             texts += len(langs)
             # Slices are small, so places fit 32 bits.
-            if size > FLUSH // 4 or base > 32 * SLICE:
+            if size > FLUSH // 2 or base > 32 * SLICE:
                 batch = counted()
                 held, size, base, texts = [], 0, 0, 0
                 yield batch
@@ -436,6 +442,7 @@ def collocations(
     rows count each. Without frequent phrases (an empty table, too) there are no
     rows. Other columns are not read.
     """
+    small_batches(documents.sparkSession)
     folder = work_folder(documents.sparkSession, "collocations")
     rows = documents.select(
         F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"),
