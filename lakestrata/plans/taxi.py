@@ -27,6 +27,9 @@ ROUTES = {
 SILVER_ROUTES = {"green": ROUTES["green"], "yellow": ROUTES["yellow"]}
 SILVER_YEARS = (2019, 2022)
 
+#: Bytes before compression of a silver file, and with what opening its files is worth, of a task that writes them.
+SILVER_FILE_BYTES = 256 << 20
+
 # Raw column -> silver column of each colour, in order.
 YELLOW_COLUMNS = {
     "VendorID": "vendor_id",
@@ -195,8 +198,9 @@ def silver_job(
     that `route_job` gave them, so one footer is read; `schema` saves the footers of
     raw files.
 
-    By default rows are shuffled by date, which gives few, evenly sized files.
-    Raw files that hold few dates each may be written as they lie, without a
+    By default rows are shuffled by date, planned by size: a first pass over the pickups alone
+    counts the rows of each date, and a date has one file until it fills several tasks, whatever the size of the
+    dataset and the number of shuffle partitions. Raw files that hold few dates each may be written as they lie, without a
     shuffle, by `clustered=True`.
     """
     require_apart(target, source)
@@ -205,7 +209,11 @@ def silver_job(
     else:
         trips = read_layer(spark, source, schema=schema)
     write_layer(
-        silver(trips, colour), target, partition_by="partition_date", clustered=clustered
+        silver(trips, colour),
+        target,
+        partition_by="partition_date",
+        clustered=clustered,
+        file_bytes=None if clustered else SILVER_FILE_BYTES,
     )
 
 

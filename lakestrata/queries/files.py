@@ -3,7 +3,9 @@
 import datetime
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from lakestrata import storage
@@ -84,7 +86,7 @@ def _by_day(spark, sf_dir):
     orders = t.table(spark, sf_dir, "orders").selectExpr(
         "*", "if(o_orderkey % 7 = 0, null, to_date(o_orderdate)) as partition_date"
     )
-    write_layer(orders, path, partition_by="partition_date")
+    write_layer(orders, path, partition_by="partition_date", file_bytes=256 << 20)
     return path
 
 
@@ -339,12 +341,18 @@ def delivery_files(spark, sf_dir):
 def taxi_files(spark, sf_dir):
     """Raw trips to silver to gold, each layer written by day and read."""
     root = work_folder(spark, "taxi")
-    silver_paths = {}
-    for colour, raw in (("yellow", t.yellow_trips), ("green", t.green_trips)):
+    trips = {"yellow": t.yellow_trips, "green": t.green_trips}
+    silver_paths = {colour: os.path.join(root, "silver", colour) for colour in trips}
+
+    def to_silver(colour):
         source = os.path.join(root, "raw", colour)
-        write_layer(raw(spark, sf_dir), source)
-        silver_paths[colour] = os.path.join(root, "silver", colour)
+        write_layer(trips[colour](spark, sf_dir), source)
         silver_job(spark, colour, source, silver_paths[colour])
+
+    # The colours do not need each other: one's tasks run while the other's files are committed.
+    with ThreadPoolExecutor(len(trips)) as pool:
+        for _ in pool.map(inheritable_thread_target(spark)(to_silver), trips):
+            pass
     gold_job(spark, silver_paths, os.path.join(root, "gold"))
     return read_layer(spark, os.path.join(root, "gold"))
 

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 
 from lakestrata.sinks.versions import current_folder
 
+#: Tasks a core that list the folders of a dataset.
+LISTING_TASKS = 4
+
 
 def read_delimited(
     spark: SparkSession,
@@ -41,12 +44,23 @@ def read_layer(
 
     Of a dataset with versions it is the newest.
     """
+    _list_in_few_tasks(spark)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(current_folder(spark, path) or path)
 
 
+def _list_in_few_tasks(spark: SparkSession) -> None:
+    """Let this session list folders in a few tasks a core, unless it was given a number.
+
+    Spark would take a task for each of up to 10,000 folders, and a partitioned layer has one a day.
+    """
+    number = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(number, None) is None:
+        spark.conf.set(number, LISTING_TASKS * spark.sparkContext.defaultParallelism)
+
+
 def preview(spark: SparkSession, path: str, lines: int = 20) -> DataFrame:
     """The first lines of one utf-8 text file as one column `value`; reads little more than these.
 

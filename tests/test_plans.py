@@ -208,6 +208,25 @@ def test_gold(spark, layers):
     assert gold.where("taxi_type = 'yellow' and trip_type is not null").count() == 0
 
 
+def test_silver_has_one_file_a_date_at_any_number_of_shuffle_partitions(spark, tmp_path, with_conf):
+    """The shuffle partitions are too large for one task each, the dates are not."""
+    with_conf(
+        spark__sql__shuffle__partitions="4",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1k",
+    )
+    raw = trips(spark, "lpep", "double").limit(1).crossJoin(spark.range(0, 40_000, 1, 8)).selectExpr(
+        "* except (id, lpep_pickup_datetime, fare_amount, extra, total_amount)",
+        "if(id % 201 = 200, null, timestamp_seconds(1577836800 + 86400 * (id % 201))) as lpep_pickup_datetime",
+        *[f"rand({seed}) as {c}" for seed, c in enumerate(("fare_amount", "extra", "total_amount"))],
+    )
+    write_layer(raw, f"{tmp_path}/raw")
+    silver_job(spark, "green", f"{tmp_path}/raw", f"{tmp_path}/silver")
+    files = [len(list(p.glob("*.parquet"))) for p in (tmp_path / "silver").iterdir() if p.is_dir()]
+    assert len(files) == 201 and sum(files) == 201
+    assert read_layer(spark, f"{tmp_path}/silver").count() == 40_000
+
+
 def test_gold_as_a_view(spark, layers):
     read_layer(spark, f"{layers}/gold").createOrReplaceTempView("trips")
     found = spark.sql("select taxi_type, count(*) n from trips group by all order by 1").collect()

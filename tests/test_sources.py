@@ -245,3 +245,22 @@ def test_folders_above_the_path_are_no_partitions(spark, tmp_path, rows):
     df = concat_by_name(spark, f"{tmp_path}/run=5/raw")
     assert df.columns == ["id"] and rows(df) == [(0,), (1,)]
     assert concat_by_name(spark, f"file://{tmp_path}").columns == ["id", "run"]
+
+
+def test_folders_of_a_layer_are_listed_in_few_tasks(spark, tmp_path):
+    """A session's own number stays."""
+    number = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(number, None)
+    path = str(tmp_path / "layer")
+    spark.range(60).selectExpr("id", "id % 50 as k").write.partitionBy("k").parquet(path)
+    try:
+        spark.conf.unset(number)
+        assert read_layer(spark, path).count() == 60
+        assert int(spark.conf.get(number)) == 4 * spark.sparkContext.defaultParallelism
+        spark.conf.set(number, "7")
+        assert read_layer(spark, path).count() == 60
+        assert spark.conf.get(number) == "7"
+    finally:
+        spark.conf.unset(number)
+        if before is not None:
+            spark.conf.set(number, before)
